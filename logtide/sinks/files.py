@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The default format stops at milliseconds.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
+
+
 def _nested_as_json(table: DataFrame) -> DataFrame:
     """CSV holds no arrays, maps or structs: store them as JSON text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
@@ -20,12 +24,14 @@ def _nested_as_json(table: DataFrame) -> DataFrame:
 
 def write_csv(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header, nested columns as JSON text. Quotes double, as readers expect."""
-    _nested_as_json(table).write.mode(mode).option("escape", '"').csv(path, header=True)
+    writer = _nested_as_json(table).write.mode(mode).option("timestampFormat", TIME_FORMAT)
+    writer.option("escape", '"').csv(path, header=True)
 
 
 def write_json_lines(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One object per line; NULL fields are written, too."""
-    table.write.mode(mode).option("ignoreNullFields", False).json(path)
+    writer = table.write.mode(mode).option("timestampFormat", TIME_FORMAT)
+    writer.option("ignoreNullFields", False).json(path)
 
 
 def save_output(events: DataFrame, path: str, name: str = "parsed_logs") -> None:
@@ -42,4 +48,4 @@ def json_array(table: DataFrame, order_by: str) -> DataFrame:
     record = F.struct(*[F.col(c) for c in table.columns])
     items = F.sort_array(F.collect_list(F.struct(F.col(order_by).alias("_k"), record.alias("_r"))))
     records = F.transform(items, lambda item: item["_r"])
-    return table.agg(F.to_json(records, {"ignoreNullFields": "false"}).alias("json"))
+    return table.agg(F.to_json(records, {"ignoreNullFields": "false", "timestampFormat": TIME_FORMAT}).alias("json"))

@@ -6,6 +6,7 @@ import re
 import warnings
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -180,7 +181,7 @@ def append_remote(
     """
     try:
         rows.write.format(source).options(**options).mode("append").save()
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         absent = "DATA_SOURCE_NOT_FOUND" in str(error) or "ClassNotFoundException" in str(error)
         if not absent or on_missing == "error":
             raise
