@@ -13,7 +13,7 @@ from logtide.operators.density import label_noise
 from logtide.operators.ensemble import ensemble_vote
 from logtide.operators.parse import harmonize, parse_lines
 from logtide.operators.windows import window_features
-from logtide.session import checkpointed
+from logtide.session import stored
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features written once, for detectors that read them several times."""
-    return checkpointed(features(spark, sf_dir))
+    return stored(features(spark, sf_dir), "features")
 
 
 def forest_with_threshold(table: DataFrame):

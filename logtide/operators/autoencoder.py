@@ -141,8 +141,8 @@ def train_autoencoder(
 
 
 def _epoch(vectors: DataFrame, model: Autoencoder) -> tuple[np.ndarray, float]:
+    """Gradient and squared error summed over all rows."""
     size = model.parameters().size
-    names = [f"g{i}" for i in range(size + 1)]
     columns = model.columns
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,10 +155,10 @@ def _epoch(vectors: DataFrame, model: Autoencoder) -> tuple[np.ndarray, float]:
                 )
                 total += np.append(gradient, error)
         if any_rows:
-            yield pd.DataFrame([total], columns=names)
+            yield pd.DataFrame({"i": np.arange(size + 1), "part": total})
 
-    sums = vectors.mapInPandas(partial, ", ".join(f"{n} double" for n in names)).agg(
-        *[F.sum(n).alias(n) for n in names]
-    )
-    found = np.array(sums.first(), dtype="float64")
-    return found[:-1], found[-1]
+    sums = vectors.mapInPandas(partial, "i int, part double").groupBy("i").agg(F.sum("part"))
+    found = np.zeros(size + 1)
+    for i, total in sums.collect():
+        found[i] = total
+    return found[:-1], float(found[-1])

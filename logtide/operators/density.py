@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.functions.patterns import NUMERIC_FEATURES
+from logtide.session import stored
 
 WHOLE = [n for n in NUMERIC_FEATURES if n not in ("avg_msg_length", "entropy_tokens")]
 REAL = ["avg_msg_length", "entropy_tokens"]
@@ -91,12 +92,15 @@ class Grid:
 
 
 def _neighbourhoods(points: DataFrame, grid: Grid, min_samples: int):
-    """(vectors with cell and `dense`, sparse vectors with what lies around them)"""
+    """(vectors with cell and `_dense`, sparse vectors with what lies around them)
+
+    Both are stored, as what follows reads them several times.
+    """
     vectors = grid.with_cells(
         points.dropna(subset=grid.dims).groupBy(*grid.dims).agg(F.count(F.lit(1)).alias("_w"))
     )
     cells = vectors.groupBy(*grid.cell).agg((F.sum("_w") >= min_samples).alias("_dense"))
-    vectors = vectors.join(cells, grid.cell)
+    vectors = stored(vectors.join(cells, grid.cell), "vectors")
     sparse = vectors.filter(~F.col("_dense"))
     pairs = grid.looking_around(sparse).join(vectors, grid.cell).filter(grid.near())
     around = (
@@ -104,7 +108,7 @@ def _neighbourhoods(points: DataFrame, grid: Grid, min_samples: int):
         .agg((F.sum("_w") >= min_samples).alias("_core"), F.max("_dense").alias("_by_dense"))
         .select(*grid.probe_dims(), "_core", "_by_dense")
     )
-    return vectors, grid.with_cells(around)
+    return vectors, stored(grid.with_cells(around), "around")
 
 
 def core_points(
@@ -178,12 +182,14 @@ def label_against_cores(
     once per distinct vector, are compared with the cores around them.
     """
     grid = Grid(whole, real, eps)
-    stored = grid.with_cells(cores.select(*grid.dims))
+    known = grid.with_cells(cores.select(*grid.dims))
     vectors = grid.with_cells(points.dropna(subset=grid.dims).select(*grid.dims).distinct())
-    unsettled = vectors.join(stored.select(*grid.cell).distinct(), grid.cell, "left_anti")
+    unsettled = stored(
+        vectors.join(known.select(*grid.cell).distinct(), grid.cell, "left_anti"), "unsettled"
+    )
     reached = (
         grid.looking_around(unsettled)
-        .join(stored, grid.cell)
+        .join(known, grid.cell)
         .filter(grid.near())
         .select(*grid.probe_dims())
         .distinct()

@@ -38,12 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """`df.checkpoint()`, with a folder set for a local session that has none."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or scratch_path(spark, "checkpoint")
-        )
-    return df.checkpoint()
+def stored(table, name: str = "stored"):
+    """`table` written to the shared folder and read back.
+
+    This cuts the lineage: the rows are computed once however often they are used
+    and survive the loss of executors. `checkpoint()` would compute them twice and
+    give up reading single columns.
+    """
+    spark = table.sparkSession
+    path = scratch_path(spark, name)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
