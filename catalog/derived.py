@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logtide.sources.tables import spread
+
 YEAR = 2024
 
 
@@ -17,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, source_file, line"""
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "user_id",
         "event_type",

@@ -39,7 +39,7 @@ from logtide.plans.log_features import features_from_files
 from logtide.session import scratch_path
 from logtide.sinks import files, tables
 from logtide.sources.lines import lines_per_file, read_lines, stream_lines
-from logtide.sources.tables import read_csv, read_feature_csv, run_query
+from logtide.sources.tables import read_csv, read_feature_csv, run_query, spread
 from logtide.streaming.features import parse_stream, stream_features
 from logtide.streaming.scoring import write_labels
 
@@ -205,7 +205,7 @@ DOCUMENTS_SQL = PARSED_CTE.replace(
         tags, md5(message) AS message_md5 FROM parsed""",
 )
 def _(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select(
+    texts = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("source").alias("source_file"), X.strip(F.col("text")).alias("line")
     )
     return parse_lines(texts, default_year=YEAR, keep=["doc_id"]).select(
@@ -347,7 +347,7 @@ feature_query("f11_window_features", "window_end", *P.NUMERIC_FEATURES)
         FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id""",
 )
 def _(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message"))
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message")))
     return windows.token_entropy(texts, ["doc_id"]).withColumn(
         "entropy_tokens", F.round("entropy_tokens", 6)
     )

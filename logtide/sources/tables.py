@@ -43,6 +43,15 @@ def read_feature_csv(spark: SparkSession, path: str, labelled: bool = False) ->
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Rows over all cores, where the files give fewer splits than there are cores.
+
+    A table of many splits is returned as it is, without a shuffle.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def run_query(spark: SparkSession, query: str, params: Sequence | None = None) -> DataFrame:
     """Rows of a SELECT over registered tables; `%s` marks take `params` in order."""
     return spark.sql(query.replace("%s", "?"), args=list(params or []))
