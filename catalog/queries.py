@@ -873,7 +873,7 @@ def _(spark, sf_dir):
     "x3_sessions",
     f"""{PARSED_CTE}, marked AS (
           SELECT service, "timestamp" AS ts, CASE WHEN epoch_us("timestamp") - lag(epoch_us("timestamp"))
-            OVER (PARTITION BY service ORDER BY "timestamp") < 1800000000 THEN 0 ELSE 1 END AS fresh FROM parsed),
+            OVER (PARTITION BY service ORDER BY "timestamp") <= 1800000000 THEN 0 ELSE 1 END AS fresh FROM parsed),
         numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY service ORDER BY ts
             ROWS UNBOUNDED PRECEDING) AS nr FROM marked)
         SELECT service, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,

@@ -85,6 +85,8 @@ def _grow(sample: np.ndarray, max_depth: int, rng: np.random.Generator) -> list[
             continue
         feature = int(rng.choice(usable))
         cut = float(rng.uniform(lowest[feature], highest[feature]))
+        if cut >= highest[feature]:  # neighbouring doubles leave nothing in between
+            cut = float(lowest[feature])
         left = points[:, feature] <= cut
         children = [len(nodes), len(nodes) + 1]
         nodes[node][:4] = [feature, cut, *children]

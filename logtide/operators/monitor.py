@@ -47,7 +47,7 @@ def sliding_counts(
 
 
 def sessions(events: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFrame:
-    """Runs of events per key with no pause of `gap_seconds` or more.
+    """Runs of events per key with no pause longer than `gap_seconds`, as `session_window`.
 
     One key may hold any share of the events, so its events are never sorted in
     one task. Each is put into a slot of the length of the gap. Events of one slot
@@ -68,7 +68,7 @@ def sessions(events: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFr
     by_key = Window.partitionBy(*keys).orderBy("_slot")
     pause = F.col("_first") - F.lag("_last").over(by_key)
     return (
-        slots.withColumn("_new", F.when(pause < gap, 0).otherwise(1))
+        slots.withColumn("_new", F.when(pause <= gap, 0).otherwise(1))
         .withColumn("_session", F.sum("_new").over(by_key))
         .groupBy(*keys, "_session")
         .agg(

@@ -34,32 +34,32 @@ def parse_lines(
 
     # Each step computes what later ones use more than once, so that no pattern
     # is evaluated twice for a line. Format and time pass through a one-element
-    # `inline`: a plain projection would be substituted into every filter on the
+    # `inline`: plain projections would be substituted into every filter on the
     # result, pattern by pattern, and be evaluated again there.
-    found = lines.select(
-        *keep,
-        line,
-        source.alias("_file"),
-        number.cast("bigint").alias("line_number"),
-        X.line_format(line).alias("_format"),
-    ).select(
-        *keep,
-        line,
-        "_file",
-        "line_number",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("_format").alias("line_format"),
-                    X.time_text(line, F.col("_format")).alias("_time"),
-                )
-            )
-        ),
-    )
     time, shape = F.col("_time"), F.col("_shape")
-    raw = found.select(
+    timed = (
+        lines.select(
+            *keep,
+            line,
+            source.alias("_file"),
+            number.cast("bigint").alias("line_number"),
+            X.line_format(line).alias("_format"),
+        )
+        .select("*", X.time_text(line, F.col("_format")).alias("_time"))
+        .select("*", X.time_shape(time).alias("_shape"))
+        .select(
+            "*",
+            X.time_parts(time, shape).alias("_parts"),
+            X.offset_text(time, shape).alias("_offset_text"),
+        )
+    )
+    settled = F.struct(
+        F.col("_format").alias("line_format"),
+        X.wall_clock(F.col("_parts"), shape, default_year).alias("_clock"),
+        X.offset_minutes(F.col("_offset_text")).alias("_offset"),
+    )
+    raw = timed.select(*keep, line, "_file", "line_number", F.inline(F.array(settled))).select(
         "*",
-        X.time_shape(time).alias("_shape"),
         X.message_text(line, fmt).alias("_message"),
         X.level_text(line, fmt).alias("_level"),
         X.service_name(line, fmt).alias("_service"),
@@ -75,15 +75,11 @@ def parse_lines(
         "*",
         F.when(has_message, F.col("_message")).otherwise(line).alias("message"),
         F.when(has_message, X.port_number(F.col("_message"))).alias("peer_port"),
-        X.time_parts(time, shape).alias("_parts"),
-        X.offset_text(time, shape).alias("_offset_text"),
         hits.alias("_hits"),
     )
     first, second = F.get("_hits", F.lit(0)), F.get("_hits", F.lit(1))
     checked = pieces.select(
         "*",
-        X.wall_clock(F.col("_parts"), shape, default_year).alias("_clock"),
-        X.offset_minutes(F.col("_offset_text")).alias("_offset"),
         X.spaced_words(F.col("message")).alias("_words"),
         X.is_valid_ipv4(first).alias("ip_src_valid"),
         X.is_valid_ipv4(second).alias("ip_dst_valid"),
