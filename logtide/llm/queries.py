@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe, exact, packing, token_orc
+from logtide.llm import bpe, exact, packing, quality, simhash, token_orc
 from logtide.llm.shared import documents, shared_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,11 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.judge(documents(spark, sf_dir))
+
+
 def op4_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files, read back and summed up."""
     out = shared_path(spark, "tokens")
@@ -48,6 +53,70 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
 
+def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return simhash.near_groups(documents(spark, sf_dir))
+
+
+def _op3_sql() -> str:
+    """The rules of `quality` in SQL, from the same parameters."""
+    rates = " UNION ALL ".join(
+        f"SELECT *, '{name}' AS rate, {part} * {times} // greatest({whole}, 1) AS exact, {slack} AS slack FROM counts"
+        for name, (part, whole, times, slack) in quality.RATES.items()
+    )
+    levels = " UNION ALL ".join(
+        f"SELECT {i} AS level, {lang} AS l, {source} AS s, rate, slack, value FROM sketched"
+        for i, (lang, source) in enumerate((("lang", "source"), ("lang", "NULL"), ("NULL", "NULL")))
+    )
+    return f"""
+WITH base AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM documents),
+tokens AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM base),
+wins AS (
+  SELECT doc_id, pos, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3,
+         lead(w, 4) OVER o AS w4
+  FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+twice AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, w, w1, w2, w3, w4) AS n FROM wins WHERE w4 IS NOT NULL),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(pos, pos + {quality.WINDOW})) AS p FROM twice WHERE n > 1) GROUP BY doc_id),
+counts AS (
+  SELECT b.doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         len(ws) < {quality.MIN_WORDS}
+           OR 100 * coalesce(c.n, 0) > {quality.MAX_REPEATED_PERCENT} * len(ws) AS base_failed
+  FROM base b LEFT JOIN covered c ON b.doc_id = c.doc_id),
+rated AS ({rates}),
+sketched AS (
+  SELECT *, (exact // (1 << greatest(length(bin(exact)) - 6, 0)))
+            * (1 << greatest(length(bin(exact)) - 6, 0)) AS value
+  FROM rated WHERE NOT base_failed),
+levels AS ({levels}),
+limits AS (
+  SELECT level, l, s, rate, count(*) AS n,
+         quantile_disc(value, 0.5) - {quality.SPREADS} * (quantile_disc(value, 0.5) - quantile_disc(value, 0.1))
+           - max(slack) AS low,
+         quantile_disc(value, 0.5) + {quality.SPREADS} * (quantile_disc(value, 0.9) - quantile_disc(value, 0.5))
+           + max(slack) AS high
+  FROM levels GROUP BY ALL),
+chosen AS (
+  SELECT r.doc_id, r.exact, arg_min(low, level) AS low, arg_min(high, level) AS high
+  FROM rated r JOIN limits m ON r.rate = m.rate AND (m.level = 2 OR (m.n >= {quality.GROUP_ROWS} AND (
+       (m.level = 0 AND m.l = r.lang AND m.s = r.source) OR (m.level = 1 AND m.l = r.lang))))
+  GROUP BY r.doc_id, r.rate, r.exact),
+verdict AS (SELECT doc_id, bool_and(exact BETWEEN low AND high) AS inside FROM chosen GROUP BY doc_id)
+SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(inside, true) AS kept
+FROM counts c LEFT JOIN verdict v ON c.doc_id = v.doc_id
+"""
+
+
 OP6_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
@@ -57,9 +126,11 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
+    "op3_quality_rules": op3_quality_rules,
     "op4_token_orc": op4_token_orc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_simhash_bktree": op10_simhash_bktree,
 }
 
-ORACLES = {"op6_exact_dedup": OP6_SQL}
+ORACLES = {"op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL}
