@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe, exact, packing, quality, simhash, token_orc
+from logtide.llm import bpe, exact, packing, quality, simhash, substring_tree, suffix_array, token_orc
 from logtide.llm.shared import documents, shared_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -53,6 +53,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
 
 
+def op7_substring_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document once repeated passages are taken out."""
+    cut = substring_tree.remove_repeats(documents(spark, sf_dir), kept=lambda text: F.sha2(text, 256))
+    return cut.withColumnRenamed("kept_text", "kept_sha256")
+
+
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left in every document once strings of earlier documents are taken out."""
+    cut = suffix_array.remove_repeats(documents(spark, sf_dir), kept=lambda text: F.sha2(text, 256))
+    return cut.withColumnRenamed("kept_text", "kept_sha256")
+
+
 def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return simhash.near_groups(documents(spark, sf_dir))
@@ -124,13 +136,60 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP7_SQL = f"""
+WITH base AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - {substring_tree.WINDOW - 2})) AS p
+  FROM base WHERE len(ws) >= {substring_tree.WINDOW}),
+wins AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + {substring_tree.WINDOW - 1}], ' ')) AS k FROM starts),
+later AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM wins)
+  WHERE r > 1),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM (
+    SELECT doc_id, unnest(range(p, p + {substring_tree.WINDOW})) AS p FROM later)),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM base),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT b.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM base b LEFT JOIN kept k ON b.doc_id = k.doc_id
+"""
+
+OP9_SQL = f"""
+WITH base AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - {suffix_array.WINDOW - 1})) AS p
+  FROM base WHERE strlen(h) >= {2 * suffix_array.WINDOW}),
+wins AS (SELECT doc_id, p, md5(substring(h, 2 * p + 1, {2 * suffix_array.WINDOW})) AS k FROM starts),
+later AS (SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS m FROM wins) WHERE m < doc_id),
+spans AS (
+  SELECT doc_id, min(p) AS a, max(p) + {suffix_array.WINDOW} AS b FROM (
+    SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+      SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {suffix_array.WINDOW}
+                             THEN 0 ELSE 1 END AS fresh FROM later))
+  GROUP BY doc_id, run),
+stays AS (
+  SELECT s.doc_id, substring(h, 2 * coalesce(lag(s.b) OVER o, 0) + 1, 2 * (a - coalesce(lag(s.b) OVER o, 0))) AS t,
+         a, s.b - a AS n, s.b AS e
+  FROM spans s JOIN base USING (doc_id) WINDOW o AS (PARTITION BY s.doc_id ORDER BY a)),
+summed AS (
+  SELECT doc_id, string_agg(t, '' ORDER BY a) AS t, sum(n) AS n, count(*) AS c, max(e) AS e FROM stays GROUP BY doc_id)
+SELECT base.doc_id, strlen(h) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(c, 0) AS n_spans,
+       sha256(unhex(coalesce(t || substring(h, 2 * e + 1), h))) AS kept_sha256
+FROM base LEFT JOIN summed ON base.doc_id = summed.doc_id
+"""
+
 QUERIES = {
     "op2_bpe_codec": op2_bpe_codec,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_orc": op4_token_orc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_substring_tree": op7_substring_tree,
+    "op9_suffix_array": op9_suffix_array,
     "op10_simhash_bktree": op10_simhash_bktree,
 }
 
-ORACLES = {"op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL}
+ORACLES = {"op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL, "op7_substring_tree": OP7_SQL, "op9_suffix_array": OP9_SQL}
