@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe, exact, packing, quality, simhash, substring_tree, suffix_array, token_orc
+from logtide.llm import bpe, exact, packing, pitman_yor, quality, simhash, substring_tree, suffix_array, token_orc
 from logtide.llm.shared import documents, shared_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -59,6 +59,11 @@ def op7_substring_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumnRenamed("kept_text", "kept_sha256")
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those that are not held out."""
+    return pitman_yor.score(documents(spark, sf_dir))
+
+
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left in every document once strings of earlier documents are taken out."""
     cut = suffix_array.remove_repeats(documents(spark, sf_dir), kept=lambda text: F.sha2(text, 256))
@@ -188,6 +193,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_substring_tree": op7_substring_tree,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_suffix_array": op9_suffix_array,
     "op10_simhash_bktree": op10_simhash_bktree,
 }

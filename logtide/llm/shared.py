@@ -45,7 +45,17 @@ def stored(table: DataFrame, name: str) -> DataFrame:
         table.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(table.schema).parquet(path)
+    result = spark.read.schema(table.schema).parquet(path)
+    result.scratch = path
+    return result
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
