@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe, exact, packing, pitman_yor, quality, simhash, substring_tree, suffix_array, token_orc
+from logtide.llm import bpe, exact, licenses, packing, pitman_yor, quality, simhash, substring_tree, suffix_array, token_orc
 from logtide.llm.shared import documents, shared_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -16,6 +16,16 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, placed at source/language/thousand/doc_id."""
+    docs = documents(spark, sf_dir)
+    folder = F.floor(F.col("doc_id") / 1000).cast("long").cast("string")
+    path = F.concat_ws("/", "source", "lang", folder, F.col("doc_id").cast("string"))
+    found = licenses.scan(docs.select(path.alias("path"), "text"))
+    doc_id = F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id")
+    return found.select(doc_id, "own_license", "score", "license", "license_dir")
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded texts of all documents, as digests."""
     path = vocabulary_path()
@@ -75,6 +85,56 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def _op1_sql() -> str:
+    """Scores and inheritance of `licenses` in SQL, from the same parameters."""
+    quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+    size, speaks = len(licenses.TEMPLATES), licenses.SPEAKS.removeprefix("(?i)")
+    return f"""
+WITH templates(license, statement) AS (VALUES {quoted}),
+tcount AS (
+  SELECT license, term, count(*) AS tf FROM (
+    SELECT license, unnest(regexp_extract_all(lower(statement), '{licenses.TERM}')) AS term FROM templates)
+  GROUP BY ALL),
+idfs AS (SELECT term, ln({size + 1}.0 / (1.0 + count(*))) + 1.0 AS idf FROM tcount GROUP BY term),
+tweight AS (SELECT license, term, tf * idf AS weight FROM tcount JOIN idfs USING (term)),
+tnorm AS (SELECT license, sqrt(sum(weight * weight)) AS norm FROM tweight GROUP BY license),
+files AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         concat_ws('/', source, lang, (doc_id // 1000)::VARCHAR) AS dir FROM documents),
+lines AS (
+  SELECT doc_id, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_words,
+         unnest(string_split(text, chr(10))) AS said, unnest(range(len(string_split(text, chr(10))))) AS line
+  FROM files),
+own AS (
+  SELECT *, len(regexp_extract_all(said, '[^\\x20\\x09-\\x0D]+')) AS n_said FROM lines
+  WHERE regexp_matches(said, '{speaks}', 'i')),
+lcount AS (
+  SELECT doc_id, line, n_words, n_said, term, count(*) AS tf FROM (
+    SELECT *, unnest(regexp_extract_all(lower(said), '{licenses.TERM}')) AS term FROM own)
+  GROUP BY doc_id, line, n_words, n_said, term),
+lweight AS (
+  SELECT l.*, tf * coalesce(idf, ln({size + 1}.0 / 1.0) + 1.0) AS own FROM lcount l LEFT JOIN idfs USING (term)),
+lnorm AS (SELECT doc_id, line, sqrt(sum(own * own)) AS own_norm FROM lweight GROUP BY doc_id, line),
+scored AS (
+  SELECT w.doc_id, w.license, 100 * any_value(n_said) // greatest(any_value(n_words), 1) AS share,
+         round(sum(own * weight) / (any_value(norm) * any_value(own_norm)), {licenses.DIGITS}) AS score
+  FROM (SELECT * FROM lweight JOIN tweight USING (term)) w JOIN lnorm USING (doc_id, line) JOIN tnorm USING (license)
+  GROUP BY w.doc_id, line, w.license),
+best AS (
+  SELECT * FROM scored WHERE score >= {licenses.THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, share DESC) = 1),
+licensed AS (
+  SELECT dir, arg_min(license, doc_id::VARCHAR) AS license FROM best JOIN files USING (doc_id)
+  WHERE share >= {licenses.MOSTLY} GROUP BY dir),
+near AS (
+  SELECT doc_id, arg_max(l.dir, len(l.dir)) AS above, arg_max(l.license, len(l.dir)) AS inherited
+  FROM files f JOIN licensed l ON f.dir = l.dir OR starts_with(f.dir, l.dir || '/') GROUP BY doc_id)
+SELECT f.doc_id, b.license AS own_license, score, coalesce(b.license, inherited) AS license,
+       CASE WHEN b.license IS NULL THEN above END AS license_dir
+FROM files f LEFT JOIN best b ON f.doc_id = b.doc_id LEFT JOIN near n ON f.doc_id = n.doc_id
+"""
+
+
 def _op3_sql() -> str:
     """The rules of `quality` in SQL, from the same parameters."""
     rates = " UNION ALL ".join(
@@ -187,6 +247,7 @@ FROM base LEFT JOIN summed ON base.doc_id = summed.doc_id
 """
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_bpe_codec": op2_bpe_codec,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_orc": op4_token_orc,
@@ -198,4 +259,4 @@ QUERIES = {
     "op10_simhash_bktree": op10_simhash_bktree,
 }
 
-ORACLES = {"op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL, "op7_substring_tree": OP7_SQL, "op9_suffix_array": OP9_SQL}
+ORACLES = {"op1_license_scan": _op1_sql(), "op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL, "op7_substring_tree": OP7_SQL, "op9_suffix_array": OP9_SQL}

@@ -10,7 +10,7 @@ Equal texts are one text here, named by the least doc_id that has it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -205,17 +205,25 @@ def repeated_seeds(texts: DataFrame, unit: str, gram: int, window: int) -> DataF
 
 
 def results_for(
-    docs: DataFrame, copies: DataFrame, cut: DataFrame, size: str, window: int, kept: Callable[[Column], Column]
+    docs: DataFrame,
+    copies: DataFrame,
+    cut: DataFrame,
+    size: str,
+    window: int,
+    kept: Callable[[Column], Column],
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Results of texts given to their documents; later copies of a text go whole.
 
     `cut` has first, tie, `size`, n_removed, other numbers and kept_text, of which
-    `kept` is carried along. Copies too short for a window have nothing removed.
+    `kept` is carried along. Copies too short for a window have nothing removed. Columns
+    of `docs` named in `carry` go along.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(F.md5(whole_text())).alias("md5"),
         F.xxhash64(whole_text()).alias("tie"),
+        *[F.col(f"`{c}`").alias(f"_carried_{c}") for c in carry],
     ).join(copies, "md5")
     own = F.coalesce("doc_id", F.lit(NO_ID)) == F.col("first")
     whole = ~own & (F.col(size) >= window)
@@ -228,6 +236,7 @@ def results_for(
         F.when(whole, F.col(size)).otherwise(F.col("n_removed")).alias("n_removed"),
         *[F.when(whole, F.lit(1)).otherwise(F.col(c)).cast("long").alias(c) for c in others],
         F.when(whole, nothing).otherwise(F.col("kept_text")).alias("kept_text"),
+        *[F.col(f"_carried_{c}").alias(c) for c in carry],
     )
 
 

@@ -12,7 +12,7 @@ is dealt out, each part finds its own first suffix, and those meet once more.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +177,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def remove_repeats(docs: DataFrame, kept: Callable[[Column], Column] = lambda text: text) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, kept: Callable[[Column], Column] = lambda text: text, carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed and kept_text.
 
     A word goes if it lies in a window of 20 words that also starts earlier: in a
@@ -195,4 +197,4 @@ def remove_repeats(docs: DataFrame, kept: Callable[[Column], Column] = lambda te
         "first", "tie", F.coalesce("places", F.array().cast("array<int>")).alias("places"), "text"
     )
     cut = marked.mapInArrow(_cut, "first long, tie long, n_words long, n_removed long, kept_text string")
-    return results_for(docs, copies, cut, "n_words", WINDOW, kept)
+    return results_for(docs, copies, cut, "n_words", WINDOW, kept, carry)
