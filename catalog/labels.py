@@ -27,17 +27,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounded(features: DataFrame) -> DataFrame:
     """Six digits, since engines add up doubles in different orders."""
     return features.withColumns(
-        {name: F.round(name, 6) for name in ("avg_msg_length", "entropy_tokens")}
+        {n: F.round(n, 6) for n in ("avg_msg_length", "entropy_tokens") if n in features.columns}
     )
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(window_features(events(spark, sf_dir)))
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events parsed once, however often they are used."""
+    return stored(events(spark, sf_dir), "events")
 
 
-def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def features(spark: SparkSession, sf_dir: str, columns=None, known: DataFrame | None = None) -> DataFrame:
+    known = stored_events(spark, sf_dir) if known is None else known
+    return rounded(window_features(known, columns=columns))
+
+
+def stored_features(spark: SparkSession, sf_dir: str, known: DataFrame | None = None) -> DataFrame:
     """Features written once, for detectors that read them several times."""
-    return stored(features(spark, sf_dir), "features")
+    return stored(features(spark, sf_dir, known=known), "features")
 
 
 def forest_with_threshold(table: DataFrame):
@@ -47,10 +53,10 @@ def forest_with_threshold(table: DataFrame):
     return forest
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = stored_features(spark, sf_dir)
+def labelled(spark: SparkSession, sf_dir: str, known: DataFrame | None = None) -> DataFrame:
+    table = stored_features(spark, sf_dir, known)
     forest = forest_with_threshold(table)
-    voted = fixed_autoencoder().label(label_noise(forest.label(table)))
+    voted = label_noise(fixed_autoencoder().label(forest.label(table)))
     return ensemble_vote(voted).select(*P.FEATURE_COLUMNS, *P.LABEL_COLUMNS)
 
 

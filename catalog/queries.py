@@ -22,6 +22,7 @@ from catalog.labels import (
     labelled,
     parsed,
     rounded,
+    stored_events,
     stored_features,
 )
 from logtide.functions import fields as X
@@ -39,7 +40,7 @@ from logtide.plans.log_features import features_from_files
 from logtide.session import scratch_path
 from logtide.sinks import files, tables
 from logtide.sources.lines import lines_per_file, read_lines, stream_lines
-from logtide.sources.tables import read_csv, read_feature_csv, run_query, spread
+from logtide.sources.tables import FEATURE_SCHEMA, read_csv, read_feature_csv, run_query
 from logtide.streaming.features import parse_stream, stream_features
 from logtide.streaming.scoring import write_labels
 
@@ -85,13 +86,37 @@ def _(spark, sf_dir):
     return read_lines(spark, path).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s2_read_folder", "SELECT count(*) AS line_count FROM events")
+_S2_FILES = ["a", "b", "c"]
+
+
+@query(
+    "s2_read_folder",
+    """SELECT ['a', 'b', 'c'][event_id % 3 + 1] || '.log' AS file, count(*) AS line_count
+       FROM events WHERE event_id % 5 < 3 GROUP BY 1""",
+)
 def _(spark, sf_dir):
-    path = scratch_path(spark, "folder")
-    lines = log_lines(spark, sf_dir).select("line")
-    lines.write.text(path)
-    lines.write.text(f"{path}/nested")
-    return lines_per_file(read_lines(spark, path)).agg(F.sum("line_count").alias("line_count"))
+    """Files beside subfolders, one of them named like a partition; only the files count."""
+    base = scratch_path(spark, "folder")
+    lines = log_lines(spark, sf_dir).select("event_id", "line")
+    for i, name in enumerate(_S2_FILES):
+        _one_file(lines.filter(f"event_id % 3 = {i} AND event_id % 5 < 3"), f"{base}/{name}.log")
+    lines.filter("event_id % 5 = 3").select("line").write.text(f"{base}/nested")
+    lines.filter("event_id % 5 = 4").select("line").write.text(f"{base}/day=2024-01-01")
+    counted = lines_per_file(read_lines(spark, base))
+    return counted.select(F.element_at(F.split("source_file", "/"), -1).alias("file"), "line_count")
+
+
+def _one_file(lines: DataFrame, path: str) -> None:
+    """The lines as a file of this very name."""
+    made = scratch_path(lines.sparkSession, "part")
+    lines.select("line").coalesce(1).write.text(made)
+    jvm = lines.sparkSession._jvm
+    place = jvm.org.apache.hadoop.fs.Path(made)
+    system = place.getFileSystem(lines.sparkSession._jsc.hadoopConfiguration())
+    (part,) = [x.getPath() for x in system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{made}/part-*"))]
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system.mkdirs(target.getParent())
+    system.rename(part, target)
 
 
 @query("s3_features_of_files", f"{FEATURES_CTE} SELECT * FROM features")
@@ -105,10 +130,16 @@ def _(spark, sf_dir):
     return rounded(features_from_files(spark, paths, default_year=YEAR))
 
 
-@query("s4_line_stream", f"WITH {LINES_SQL} SELECT line, count(*) AS n FROM lines GROUP BY line")
+@query(
+    "s4_line_stream",
+    f"WITH {LINES_SQL} SELECT line, count(*) AS n FROM lines WHERE event_id % 4 > 1 GROUP BY line",
+)
 def _(spark, sf_dir):
     source, sink = scratch_path(spark, "in"), scratch_path(spark, "out")
-    log_lines(spark, sf_dir).select("line").write.text(source)
+    lines = log_lines(spark, sf_dir).select("event_id", "line")
+    lines.filter("event_id % 4 > 1").select("line").write.text(source)
+    lines.filter("event_id % 4 = 0").select("line").write.text(f"{source}/nested")
+    lines.filter("event_id % 4 = 1").select("line").write.text(f"{source}/day=2024-01-01")
     _run_stream(stream_lines(spark, source).select("line"), sink)
     return spark.read.parquet(sink).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
@@ -125,33 +156,39 @@ def _run_stream(stream: DataFrame, sink: str) -> None:
 
 @query(
     "s5_csv_scan",
-    "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    f"""WITH {LINES_SQL} SELECT event_id, line || chr(10) || 'second, "quoted" line' AS said,
+        CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id / 8.0::DOUBLE END AS share FROM lines""",
 )
 def _(spark, sf_dir):
+    """Log lines with commas, quotes and line breaks, written and read by the library."""
     path = scratch_path(spark, "csv")
-    files.write_csv(table(spark, sf_dir, "orders"), path)
-    return read_csv(spark, path, columns=["o_totalprice", "o_orderkey", "o_orderstatus"])
+    said = F.concat("line", F.lit('\nsecond, "quoted" line')).alias("said")
+    share = F.when(F.col("event_id") % 3 != 0, F.col("event_id") / 8).alias("share")
+    files.write_csv(log_lines(spark, sf_dir).select("event_id", said, F.lit(1).alias("rest"), share), path)
+    read = read_csv(spark, path, columns=["share", "said", "event_id"])
+    return read.withColumn("event_id", F.col("event_id").cast("bigint"))
 
 
 @query(
     "s6_select_with_parameters",
-    f"""{LABELLED_CTE} SELECT window_start, event_count, entropy_tokens FROM labelled
-        WHERE ensemble_anomaly = 1 AND event_count >= 1""",
+    f"""WITH {LINES_SQL} SELECT event_id, line, '100% %s' AS mark FROM lines
+        WHERE line LIKE '%ssh%' AND event_id % 7 = 3 AND event_id >= 50""",
 )
 def _(spark, sf_dir):
-    labelled(spark, sf_dir).createOrReplaceTempView("labelled_windows")
+    log_lines(spark, sf_dir).createOrReplaceTempView("all_lines")
     return run_query(
         spark,
-        "SELECT window_start, event_count, entropy_tokens FROM labelled_windows "
-        "WHERE ensemble_anomaly = %s AND event_count >= %s",
-        [1, 1],
+        "SELECT event_id, line, '100%% %s' AS mark FROM all_lines "
+        "WHERE line LIKE '%ssh%' AND event_id %% 7 = %s AND event_id >= %s",
+        [3, 50],
     )
 
 
 @query("s7_feature_csv_reload", f"{FEATURES_CTE} SELECT * FROM features")
 def _(spark, sf_dir):
     path = scratch_path(spark, "features")
-    files.write_csv(features(spark, sf_dir), path)
+    made = features(spark, sf_dir)
+    files.write_csv(made.select(*reversed(made.columns)), path)
     return read_feature_csv(spark, path)
 
 
@@ -205,7 +242,7 @@ DOCUMENTS_SQL = PARSED_CTE.replace(
         tags, md5(message) AS message_md5 FROM parsed""",
 )
 def _(spark, sf_dir):
-    texts = spread(table(spark, sf_dir, "documents")).select(
+    texts = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("source_file"), X.strip(F.col("text")).alias("line")
     )
     return parse_lines(texts, default_year=YEAR, keep=["doc_id"]).select(
@@ -323,7 +360,7 @@ def feature_query(name: str, *columns: str):
 
     @query(name, f"{FEATURES_CTE} SELECT {', '.join(wanted)} FROM features")
     def _(spark, sf_dir):
-        return features(spark, sf_dir).select(*wanted)
+        return features(spark, sf_dir, wanted)
 
 
 feature_query("f2_window_bounds", "window_end")
@@ -347,7 +384,7 @@ feature_query("f11_window_features", "window_end", *P.NUMERIC_FEATURES)
         FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id""",
 )
 def _(spark, sf_dir):
-    texts = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message")))
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message"))
     return windows.token_entropy(texts, ["doc_id"]).withColumn(
         "entropy_tokens", F.round("entropy_tokens", 6)
     )
@@ -359,7 +396,7 @@ def _(spark, sf_dir):
         sum(event_count)::BIGINT AS rows FROM features""",
 )
 def _(spark, sf_dir):
-    return features(spark, sf_dir).agg(
+    return features(spark, sf_dir, ["window_start", "event_count"]).agg(
         F.count(F.lit(1)).alias("windows"),
         F.min("event_count").alias("smallest"),
         F.sum("event_count").alias("rows"),
@@ -399,7 +436,7 @@ def _(spark, sf_dir):
 
 @query("a2_count_rows", f"{FEATURES_CTE} SELECT count(*) AS count FROM features")
 def _(spark, sf_dir):
-    return results.count_rows(features(spark, sf_dir))
+    return results.count_rows(features(spark, sf_dir, ["window_start", "event_count"]))
 
 
 @query(
@@ -552,7 +589,7 @@ def _(spark, sf_dir):
         "indicator_tags_list string, ip_src string, ip_dst string, service string, message string, "
         "peer_port bigint"
     )
-    back = spark.read.csv(path, header=True, schema=schema, escape='"', enforceSchema=True)
+    back = read_csv(spark, path, schema=schema)
     tags = F.from_json("indicator_tags_list", "array<string>")
     return back.select(
         "event_id", "timestamp", "level", F.concat_ws(",", tags).alias("tags"), "message", "peer_port"
@@ -577,7 +614,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "features")
     files.write_csv(features(spark, sf_dir), path)
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return read_csv(spark, path, schema=FEATURE_SCHEMA)
 
 
 @query("k4_features_json", f"{FEATURES_CTE} SELECT * FROM features")
@@ -652,12 +689,19 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     name = f"{_database(spark)}.last_event"
     tables.create_keyed_table(spark, name, "user_id BIGINT, event_type STRING, event_id BIGINT")
-    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
-    # Two writes of whole halves: the later write replaces what the first left.
-    middle = rows.agg(F.avg("event_id")).scalar()
-    for part in (F.col("event_id") < middle, F.col("event_id") >= middle):
-        ordered = tables.last_per_key(rows.filter(part), "user_id", ["event_id"])
-        tables.append_keyed(ordered, name)
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
+    # Keys repeat within and between files of different sizes; the later write is the smaller.
+    for part in ("event_id % 10 < 9 AND event_id % 7 > 0", "event_id % 10 = 9 OR event_id % 7 = 0"):
+        path = scratch_path(spark, "csv")
+        files.write_csv(rows.filter(part).repartition(3), path)
+        if part.startswith("event_id % 10 < 9"):
+            tables.load_csv_keyed(spark, path, name, ["event_id"], "user_id", ["event_type"])
+        else:
+            # What is already stored takes part, so that the last event wins over both writes.
+            newer = read_csv(spark, path, ["user_id", "event_type", "event_id"])
+            both = newer.unionByName(tables.read_keyed(spark, name, "user_id"))
+            tables.append_keyed(both, name, ["event_id"], "user_id")
+    tables.compact_keyed(spark, name, "user_id")
     return tables.read_keyed(spark, name, "user_id")
 
 
@@ -705,23 +749,34 @@ def _(spark, sf_dir):
     return stored.select(*P.NUMERIC_FEATURES, *labels)
 
 
-@query("k12_affected_rows", "SELECT count(*) AS affected_rows FROM events WHERE event_type = 'error'")
+@query(
+    "k12_affected_rows",
+    """SELECT count(*) AS affected_rows, count(*) AS stored, sum(event_id)::BIGINT AS ids, 0 AS without_value
+       FROM events WHERE event_type = 'error' AND props NOT LIKE '%s,%'""",
+)
 def _(spark, sf_dir):
     name = f"{_database(spark)}.errors"
-    tables.create_table(spark, name, "event_id BIGINT, value DOUBLE")
+    tables.create_table(spark, name, "value DOUBLE, kind STRING, event_id BIGINT")
     table(spark, sf_dir, "events").createOrReplaceTempView("all_events")
-    return tables.run_statement(
+    done = tables.run_statement(
         spark,
-        f"INSERT INTO {name} SELECT event_id, value FROM all_events WHERE event_type = %s",
+        f"INSERT INTO {name} (event_id, value) SELECT event_id, value FROM all_events "
+        "WHERE event_type = %s AND props NOT LIKE '%s,%'",
         ["error"],
     )
+    kept = spark.table(name).agg(
+        F.count(F.lit(1)).alias("stored"),
+        F.sum("event_id").alias("ids"),
+        F.count("kind").cast("int").alias("without_value"),
+    )
+    return done.join(kept)
 
 
 @query("k13_without_connector", "SELECT count(*) AS rows_kept, false AS written FROM events")
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
     options = tables.wide_column_options("logs", "events")
-    written = tables.append_remote(rows, "org.apache.spark.sql.cassandra", options)
+    written = tables.append_remote(rows, "org.apache.spark.sql.cassandra", options, on_missing="warn")
     return rows.agg(F.count(F.lit(1)).alias("rows_kept")).withColumn("written", F.lit(written))
 
 
@@ -822,13 +877,11 @@ def _(spark, sf_dir):
          concat('10.', user_id % 256, '.', event_id % 256, '.1') AS src_ip,
          concat('172.16.', event_id % 256, '.', user_id % 256) AS dst_ip,
          CASE WHEN event_id % 4 = 0 THEN 1024 + user_id ELSE 2152 END AS src_port,
-         CASE WHEN event_id % 4 = 0 THEN 443 ELSE 2152 END AS dst_port FROM events""",
+         CASE WHEN event_id % 4 = 0 THEN 443 ELSE 2152 END AS dst_port,
+         '10.9.0.1' AS proxy_ip, '10.9.0.2' AS reverse_proxy_ip FROM events""",
 )
 def _(spark, sf_dir):
-    listed = _flows(spark, sf_dir).withColumns(
-        {f"{s}_port": F.coalesce(f"tcp_{s}_port", f"udp_{s}_port") for s in ("src", "dst")}
-    )
-    return flows.flow_listing(listed)
+    return flows.flow_listing(_flows(spark, sf_dir), "10.9.0.1", "10.9.0.2")
 
 
 @query(
@@ -853,7 +906,7 @@ def _(spark, sf_dir):
         f'THEN stddev_pop({n}) OVER () ELSE 1 END, 5) + 0.0 AS {n}' for n in P.NUMERIC_FEATURES)} FROM features""",
 )
 def _(spark, sf_dir):
-    scaled = monitor.standardize(features(spark, sf_dir)).drop("window_end")
+    scaled = monitor.standardize(stored_features(spark, sf_dir)).drop("window_end")
     return scaled.withColumns({n: F.round(n, 5) + F.lit(0.0) for n in P.NUMERIC_FEATURES})
 
 
@@ -992,5 +1045,6 @@ def _(spark, sf_dir):
         WHERE ensemble_anomaly = 1 GROUP BY w.service""",
 )
 def _(spark, sf_dir):
-    flagged = results.with_label(labelled(spark, sf_dir))
-    return monitor.correlate(events(spark, sf_dir), flagged, ["service"])
+    known = stored_events(spark, sf_dir)
+    flagged = results.with_label(labelled(spark, sf_dir, known))
+    return monitor.correlate(known, flagged, ["service"])

@@ -43,10 +43,11 @@ def exact_quantile(table: DataFrame, column: str, q: float, limit: int = BRACKET
                     "v", [i / 64 for i in range(1, 64)], 10_000
                 )
             ).first()[0]
-            edges = sorted({low, high, *cuts})
+            # Halving the bracket as well makes every round narrow it.
+            edges = sorted({low, high, low + (high - low) / 2, *cuts})
             narrowed = _narrow(counts, edges, first, last)
             if narrowed[:2] == (low, high):
-                break
+                raise ArithmeticError(f"no value between {low} and {high} splits the bracket")
             low, high, below, distinct = narrowed
         return _interpolate(counts, low, high, below, position)
     finally:

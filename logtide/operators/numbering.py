@@ -20,26 +20,20 @@ def number_lines(
     sizes, one row per chunk, are summed up per group.
     """
     pos = F.col(position) if isinstance(position, str) else position
-    placed = lines.withColumn("_chunk", chunk).repartition(group, "_chunk")
-    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    # Keys without NULL join by plain equality, which keeps the windows' partitioning:
+    # lines are shuffled once, chunk sizes are counted before that.
+    named = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    placed = lines.withColumns({"_group": named, "_chunk": F.coalesce(chunk.cast("bigint"), F.lit(-1))})
+    before = Window.partitionBy("_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(group, "_chunk")
-        .count()
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_chunk").alias("_piece"),
-            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"),
-        )
+        placed.groupBy("_group", "_chunk")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_group", "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy(group, "_chunk").orderBy(pos)
+    inside = Window.partitionBy("_group", "_chunk").orderBy(pos)
     numbered = placed.withColumn("_rank", F.row_number().over(inside))
-    matches = (F.col(group).eqNullSafe(F.col("_group"))) & (
-        F.col("_chunk").eqNullSafe(F.col("_piece"))
-    )
     return (
-        numbered.join(offsets, matches)
+        numbered.join(offsets, ["_group", "_chunk"])
         .withColumn("line_number", F.col("_before") + F.col("_rank"))
-        .drop("_chunk", "_rank", "_group", "_piece", "_before")
+        .select(*lines.columns, "line_number")
     )

@@ -1,15 +1,15 @@
 """Tumbling-window features over events.
 
-All ten features come from one pass: every event is exploded into facets
-(message, host, process, and each token of the message), facets are counted per
-(window, facet, value), and these counts are summed per window. The first
-shuffle is keyed by value and combined on the map side, so a window or a token
-holding most of the rows spreads over all tasks; the second carries one partial
-row per window and task. No window is ever collected into one list.
+In batch, sums, distinct counts and entropy are aggregated each for itself and joined by
+window, so a feature costs what it needs. Distinct values and tokens are counted per
+(window, value) first, combined on the map side, so a window or a token holding most of
+the rows spreads over all tasks. No window is ever collected into one list. Streams, which
+cannot join aggregates, explode events into facets and count all of them in one pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -121,19 +121,57 @@ def features_from_counts(counts: DataFrame, keys: list) -> DataFrame:
 
 
 def window_features(
-    events: DataFrame, window_seconds: float = 60, origin: datetime | Column | None = None
+    events: DataFrame,
+    window_seconds: float = 60,
+    origin: datetime | Column | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per non-empty window, with bounds and the eight features."""
+    """One row per non-empty window, with bounds and the eight features, or `columns` of them.
+
+    Counts, lengths and phrases are sums over events, one partial row per window and
+    task. Only distinct counts and entropy explode events, each if it is asked for;
+    messages are told apart by their 128-bit MD5, so that no message text is shuffled.
+    """
+    wanted = list(columns or P.FEATURE_COLUMNS)
     placed = with_window_start(events, window_seconds, origin)
-    counts = (
-        facets(placed, ["window_start"], F.col("timestamp").isNotNull())
-        .groupBy("window_start", "facet", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    message = F.col("message")
+
+    def phrase(text: str) -> Column:
+        return F.coalesce(F.sum(F.when(X.has_phrase(message, text), 1)), F.lit(0)).cast("bigint")
+
+    # Events without a time have no window. Their row is dropped by its count: a filter
+    # on the time would be pushed below the parser and run it twice.
+    direct = placed.groupBy("window_start").agg(
+        F.count("timestamp").alias("event_count"),
+        (F.sum(F.length(message)) / F.count(message)).alias("avg_msg_length"),
+        phrase(P.FAILED_AUTH_PHRASE).alias("failed_auth_count"),
+        phrase(P.INVALID_USER_PHRASE).alias("invalid_user_count"),
     )
-    return (
-        features_from_counts(counts, ["window_start"])
-        .withColumn("window_end", window_end(window_seconds))
-        .select(*P.FEATURE_COLUMNS)
+    found = direct.filter("event_count > 0")
+    distinct = [c for c in DISTINCT if c in wanted]
+    if distinct:
+        found = found.join(_distinct_counts(placed, distinct), "window_start", "left")
+    if "entropy_tokens" in wanted:
+        entropy = token_entropy(placed, ["window_start"]).drop("token_count")
+        found = found.join(entropy, "window_start", "left")
+    return found.withColumn("window_end", window_end(window_seconds)).select(*wanted)
+
+
+#: Counted feature to the column it counts.
+DISTINCT = {"unique_messages": "message", "distinct_hosts": "host", "distinct_processes": "process"}
+
+
+def _distinct_counts(placed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """window_start and the numbers of different values; windows without any have zeros."""
+    values = []
+    for i, name in enumerate(names):
+        value = F.col(DISTINCT[name])
+        value = F.md5(value) if name == "unique_messages" else value
+        values.append(F.struct(F.lit(i).alias("facet"), value.alias("value")))
+    pairs = placed.select("window_start", F.inline(F.array(*values))).distinct()
+    present = F.col("value").isNotNull()
+    return pairs.groupBy("window_start").agg(
+        *[F.count_if(present & (F.col("facet") == i)).alias(name) for i, name in enumerate(names)]
     )
 
 

@@ -65,7 +65,8 @@ class AnomalyPlan:
         forest = self.registry.get("isolation_forest")
         encoder = self.registry.get("autoencoder")
         noise = DensityNoise(self.eps, self.min_samples)
-        labelled = encoder.label(noise.label(forest.label(features)), self.percentile)
+        # Noise, which joins, comes last: the others look for thresholds below it.
+        labelled = noise.label(encoder.label(forest.label(features), self.percentile))
         return ensemble_vote(labelled)
 
 

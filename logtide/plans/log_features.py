@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtide.operators.parse import harmonize, parse_lines
 from logtide.operators.windows import window_features
+from logtide.session import stored
 from logtide.sources.lines import read_lines
 
 
@@ -26,7 +27,7 @@ class LogFeaturePlan:
         default_year: int | None = None,
         compat: bool = True,
         origin: datetime | None = None,
-        on_missing: str = "warn",
+        on_missing: str = "error",
     ):
         self.spark = spark
         self.window_seconds = window_seconds
@@ -73,7 +74,12 @@ class LogFeaturePlan:
         return self
 
     def run(self) -> DataFrame:
+        """Features. Lines are parsed once: without a known origin the events are stored
+        first, as the earliest time has to be found before the first window.
+        """
         events = self._events if self._events is not None else self.parse()
+        if self._events is None and self.origin is None:
+            events = self._events = stored(events, "events")
         return window_features(events, self.window_seconds, self.origin)
 
 

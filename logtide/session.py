@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,16 +26,36 @@ def build_session(app_name: str = "logtide", master: str | None = None, **conf)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder all executors share (`spark.checkpoint.dir`).
+    """A fresh path in the folder all executors share; it goes when the session ends.
 
-    Only a local master may fall back to a folder of this machine.
+    `spark.checkpoint.dir` names the folder. Where it is unset the warehouse, which is
+    shared as well, takes its place.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="logtide-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    for names in _open_scopes:
+        names.append(path)
+    return path
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove all scratch paths made inside, such as those of one micro-batch."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(table, name: str = "stored"):

@@ -38,14 +38,3 @@ def save_output(events: DataFrame, path: str, name: str = "parsed_logs") -> None
     """Events as CSV and as JSON lines, side by side."""
     write_csv(events, f"{path}/{name}.csv")
     write_json_lines(events, f"{path}/{name}.json")
-
-
-def json_array(table: DataFrame, order_by: str) -> DataFrame:
-    """All rows as one JSON array text, ISO times; for small outputs only.
-
-    The whole array is one value, so use `write_json_lines` for anything large.
-    """
-    record = F.struct(*[F.col(c) for c in table.columns])
-    items = F.sort_array(F.collect_list(F.struct(F.col(order_by).alias("_k"), record.alias("_r"))))
-    records = F.transform(items, lambda item: item["_r"])
-    return table.agg(F.to_json(records, {"ignoreNullFields": "false", "timestampFormat": TIME_FORMAT}).alias("json"))

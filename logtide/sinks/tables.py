@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.functions import patterns as P
-from logtide.sources.tables import infer_columns, missing_as_null
+from logtide.session import stored
+from logtide.sources.tables import infer_columns, read_csv, read_texts, spark_type, typed, with_marks
 
 RESULT_DDL = (
     "date DATE, start_time STRING, end_time STRING, event_count INT, unique_messages INT, "
@@ -82,20 +83,32 @@ def append_results(results: DataFrame, table: str = "anomaly_results") -> int:
     return append(results.select(*P.RESULT_COLUMNS), table)
 
 
+_NAME = r"((?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))*)"
+_INSERT = re.compile(
+    rf"INSERT\s+INTO\s+(?:TABLE\s+)?{_NAME}\s*(?:\(([^()]*)\)\s*)?((?:SELECT|VALUES|WITH|FROM|TABLE)\b.*)",
+    re.I | re.S,
+)
+
+
 def run_statement(spark: SparkSession, statement: str, params: Sequence | None = None):
     """Rows of a SELECT, or one row `affected_rows` for any other statement.
 
-    `INSERT INTO table query` runs the query and counts what it appends. Statements
-    that change no rows report -1. UPDATE and DELETE need a table format of their own.
+    `INSERT INTO table [(columns)] query` runs the query and counts what it appends;
+    other forms of INSERT raise, as their rows could not be counted. Statements that
+    change no rows report -1. UPDATE and DELETE need a table format of their own.
     """
-    text = statement.strip().rstrip(";").replace("%s", "?")
+    text = with_marks(statement.strip().rstrip(";"), params)
     args = list(params or [])
-    if text.upper().startswith("SELECT"):
+    if re.match(r"(SELECT|WITH)\b", text, re.I):
         return spark.sql(text, args=args)
-    insert = re.match(r"(?is)INSERT\s+INTO\s+(?:TABLE\s+)?(\S+)\s+((?:SELECT|VALUES|WITH)\b.*)", text)
+    insert = _INSERT.fullmatch(text)
     if insert:
-        rows = spark.sql(insert.group(2), args=args)
-        affected = append(rows.toDF(*spark.table(insert.group(1)).columns), insert.group(1))
+        table, named, query = insert.groups()
+        target = spark.table(table).columns
+        columns = [x.strip().strip("`") for x in named.split(",")] if named else target
+        affected = append(spark.sql(query, args=args).toDF(*columns), table)
+    elif re.match(r"INSERT\b", text, re.I):
+        raise ValueError("only INSERT INTO table [(columns)] query reports its rows")
     else:
         spark.sql(text, args=args)
         affected = -1
@@ -112,30 +125,13 @@ def create_table_from_csv(
 
     Returns the (column, database type) pairs the table definition follows.
     """
-    texts = spark.read.csv(path, header=True, escape='"')
-    if columns:
-        unknown = [c for c in columns if c not in texts.columns]
-        if unknown:
-            raise ValueError(f"no such columns in {path}: {', '.join(unknown)}")
-        texts = texts.select(*[c for c in texts.columns if c in set(columns)])
+    texts = read_texts(spark, path, columns)
     types = infer_columns(texts)
-    ddl = ", ".join(f"`{name}` {_spark_type(kind)}" for name, kind in types)
-    create_table(spark, table, ddl)
-    typed = texts.select(
-        *[
-            missing_as_null(F.col(f"`{name}`")).cast(_spark_type(kind)).alias(name)
-            for name, kind in types
-        ]
-    )
-    append(typed, table)
+    create_table(spark, table, ", ".join(f"`{name}` {spark_type(kind)}" for name, kind in types))
+    append(typed(texts, types), table)
     return types
 
 
-def _spark_type(kind: str) -> str:
-    # A Spark INT holds 32 bits like INTEGER; longer numbers need BIGINT there, too.
-    return {"INTEGER": "BIGINT", "DOUBLE PRECISION": "DOUBLE"}.get(kind, "STRING")
-
-
 def column_types_option(types: Sequence[tuple[str, str]]) -> str:
     """Value of the JDBC option `createTableColumnTypes`."""
     return ", ".join(f"{name} {kind}" for name, kind in types)
@@ -145,13 +141,9 @@ def column_types_option(types: Sequence[tuple[str, str]]) -> str:
 
 
 def jdbc_options(
-    host: str = "127.0.0.1",
-    port: int = 5432,
-    database: str = "postgres",
-    user: str = "postgres",
-    password: str = "postgres",
-    batch_size: int = 10_000,
+    host: str, database: str, user: str, password: str, port: int = 5432, batch_size: int = 5_000
 ) -> dict[str, str]:
+    """Options of a JDBC table; who connects is for the caller to say."""
     return {
         "url": f"jdbc:postgresql://{host}:{port}/{database}",
         "driver": "org.postgresql.Driver",
@@ -173,9 +165,9 @@ def wide_column_options(
 
 
 def append_remote(
-    rows: DataFrame, source: str, options: dict[str, str], on_missing: str = "warn"
+    rows: DataFrame, source: str, options: dict[str, str], on_missing: str = "error"
 ) -> bool:
-    """Append to a remote table. Without its connector: warn and skip, or raise.
+    """Append to a remote table. Without its connector: raise, or warn and skip the rows.
 
     Returns whether the rows were written. Errors of a present connector always raise.
     """
@@ -219,26 +211,44 @@ def as_anomalies(results: DataFrame, source: str) -> DataFrame:
 
 
 def create_keyed_table(spark: SparkSession, table: str, ddl: str) -> None:
-    """A table of row versions: the given columns, the write time and the row's place in it."""
-    create_table(spark, table, f"{ddl}, _written TIMESTAMP, _place BIGINT")
+    """A table of row versions: the given columns and the time of the write."""
+    create_table(spark, table, f"{ddl}, _written TIMESTAMP")
 
 
-def append_keyed(rows: DataFrame, table: str) -> int:
-    """Insert or replace by key: append row versions. Costs the new rows only."""
-    versions = rows.withColumn("_written", F.current_timestamp()).withColumn(
-        "_place", F.monotonically_increasing_id()
-    )
-    return append(versions, table)
+def append_keyed(rows: DataFrame, table: str, order_by: Sequence[str], key: str = "id") -> int:
+    """Insert or replace by key: append row versions. Costs the new rows only.
+
+    Of rows with one key the last in `order_by` counts, wherever it was read. Returns
+    the number of keys written. Writes to one table follow each other.
+    """
+    last = last_per_key(rows, key, order_by)
+    target = rows.sparkSession.table(table).columns
+    named = last.select(*[c for c in last.columns if c in target])
+    return append(named.withColumn("_written", F.current_timestamp()), table)
+
+
+def load_csv_keyed(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    order_by: Sequence[str],
+    key: str = "id",
+    columns: Sequence[str] | None = None,
+) -> int:
+    """Load a CSV file or folder into a keyed table; `columns` selects by name."""
+    wanted = None if columns is None else list(dict.fromkeys([*columns, key, *order_by]))
+    return append_keyed(read_csv(spark, path, wanted), table, order_by, key)
 
 
 def read_keyed(spark: SparkSession, table: str, key: str = "id") -> DataFrame:
     """The last version per key. It is a combinable maximum, so hot keys do no harm."""
-    versions = spark.table(table)
-    columns = [c for c in versions.columns if c not in ("_written", "_place")]
-    latest = versions.groupBy(F.col(key).alias("_key")).agg(
-        F.max_by(F.struct(*columns), F.struct("_written", "_place")).alias("_row")
-    )
-    return latest.select("_row.*")
+    return last_per_key(spark.table(table), key, ["_written"]).drop("_written")
+
+
+def compact_keyed(spark: SparkSession, table: str, key: str = "id") -> None:
+    """Leave one version per key, so that reads stop paying for history."""
+    latest = stored(last_per_key(spark.table(table), key, ["_written"]), "compacted")
+    latest.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def last_per_key(rows: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:

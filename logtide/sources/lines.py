@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,20 +24,23 @@ def read_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
     numbered: bool = False,
-    on_missing: str = "warn",
+    on_missing: str = "error",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Non-blank lines of a file, of the files directly in a folder, or of many of both.
 
-    Several paths give the union of their lines. A missing path is warned about
-    and left out, or raises with `on_missing="error"`. `numbered=True` adds
+    Several paths give the union of their lines. Subfolders are left alone, whatever
+    their names. A missing path raises, or is warned about and left out with
+    `on_missing="warn"`. Names that start with `_` or `.` are left out with a warning.
+    `skip_unreadable` goes on without files that cannot be read. `numbered=True` adds
     `line_number` per file at the price of a shuffle.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
-    found = [path for path in wanted if _readable(spark, path, on_missing)]
+    found = [file for path in wanted for file in _files(spark, path, on_missing)]
     if not found:
         schema = LINE_SCHEMA + (", line_number bigint" if numbered else "")
         return spark.createDataFrame([], schema)
-    raw = spark.read.text(found)
+    raw = spark.read.option("ignoreCorruptFiles", skip_unreadable).text(found)
     extra = [F.col("_metadata.file_path").alias("source_file")]
     if numbered:
         extra.append(F.col("_metadata.file_block_start").alias("_block"))
@@ -51,30 +54,54 @@ def read_lines(
     )
 
 
-def _readable(spark: SparkSession, path: str, on_missing: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if on_missing == "error" or error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _folder(spark: SparkSession, path: str):
+    """The path as Hadoop sees it, with its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place), system
+
+
+def _files(spark: SparkSession, path: str, on_missing: str) -> list[str]:
+    """The file, or the plain files of the folder, listed once on the driver."""
+    place, system = _folder(spark, path)
+    if not system.exists(place):
+        if on_missing == "error":
+            raise FileNotFoundError(f"no log file or folder at {path}")
         warnings.warn(f"no log file or folder at {path}", RuntimeWarning, stacklevel=3)
-        return False
-    return True
+        return []
+    names = [x.getPath() for x in system.listStatus(place) if x.isFile()]
+    shown = [x for x in names if not x.getName().startswith(("_", "."))]
+    # Spark's own writers leave markers; only other hidden names are worth a word.
+    hidden = [x for x in names if x.getName().startswith(("_", ".")) and not _is_marker(x.getName())]
+    if hidden:
+        warnings.warn(f"{len(hidden)} hidden files left out in {path}", RuntimeWarning, stacklevel=3)
+    return [x.toString() for x in shown]
+
+
+def _is_marker(name: str) -> bool:
+    return name.startswith(("_SUCCESS", "_committed", "_started")) or name.endswith(".crc")
 
 
 def lines_per_file(lines: DataFrame) -> DataFrame:
     return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("line_count"))
 
 
-def replay(lines: DataFrame, max_logs: int) -> DataFrame:
-    """At most `max_logs` records of a batch, as the bounded receiver takes them."""
-    return lines.limit(max_logs)
+def replay(lines: DataFrame, max_logs: int, order_by: str | Column = "line") -> DataFrame:
+    """The first `max_logs` records of a batch, as the bounded receiver takes them."""
+    return lines.orderBy(order_by).limit(max_logs)
 
 
 def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """New files of a folder as a stream of records. Blank records stay."""
-    raw = spark.readStream.options(**options).text(path)
-    return _clean(raw, F.col("value"), [F.col("_metadata.file_path").alias("source_file")])
+    """New files directly in a folder as a stream of records. Blank records stay."""
+    place, _ = _folder(spark, path)
+    # Without this option Spark would take `name=value` subfolders for partitions and
+    # leave out the files beside them. Files further down are pruned by their path.
+    raw = spark.readStream.options(recursiveFileLookup=True, **options).text(path)
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_replace(F.regexp_replace(file, "/[^/]*$", ""), "^file:/+", "file:/")
+    wanted = place.toUri().toString().rstrip("/")
+    own = raw.filter(folder == re.sub("^file:/+", "file:/", wanted))
+    return _clean(own, F.col("value"), [file.alias("source_file")])
 
 
 def stream_topic(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from logtide.operators.ensemble import ensemble_vote
 from logtide.operators.registry import ModelRegistry
+from logtide.session import scratch_scope
 
 
 def label_with_stored(features: DataFrame, registry: ModelRegistry) -> DataFrame:
@@ -30,9 +31,10 @@ def write_labels(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        label_with_stored(batch, registry).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
+        with scratch_scope(batch.sparkSession):
+            label_with_stored(batch, registry).write.mode("overwrite").parquet(
+                f"{path}/batch_id={batch_id}"
+            )
 
     return (
         features.writeStream.outputMode("append")

@@ -1,4 +1,3 @@
-import json
 from datetime import datetime
 
 import pytest
@@ -51,12 +50,6 @@ def test_events_survive_csv_and_json(spark, tmp_path):
     assert text.filter("timestamp LIKE '%00:00:00.123456Z'").count() == 1
 
 
-def test_json_array(spark):
-    table = spark.createDataFrame([(2, None), (1, "x")], "k int, v string")
-    text = files.json_array(table, "k").first().json
-    assert json.loads(text) == [{"k": 1, "v": "x"}, {"k": 2, "v": None}]
-
-
 def test_append_counts_and_checks_columns(spark, database):
     tables.create_table(spark, "plain", "a INT, b STRING")
     assert tables.append(spark.createDataFrame([("x", 1)], "b string, a int"), "plain") == 1
@@ -70,6 +63,17 @@ def test_append_counts_and_checks_columns(spark, database):
     assert tables.run_statement(spark, "CREATE TABLE IF NOT EXISTS p2 (a INT) USING parquet").first()[0] == -1
 
 
+def test_inserts_with_named_columns(spark, database):
+    tables.create_table(spark, "named", "a INT, b INT")
+    assert tables.run_statement(spark, "INSERT INTO named (b, a) VALUES (1, 2), (3, 4)").first()[0] == 2
+    assert tables.run_statement(spark, "insert into named(b) SELECT 5").first()[0] == 1
+    rows = sorted(map(str, spark.table("named").collect()))
+    assert rows == ["Row(a=2, b=1)", "Row(a=4, b=3)", "Row(a=None, b=5)"]
+    for statement in ("INSERT OVERWRITE named SELECT 1, 2", "INSERT INTO named PARTITION (a = 1) SELECT 2"):
+        with pytest.raises(ValueError):
+            tables.run_statement(spark, statement)
+
+
 def test_table_from_csv(spark, database, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c\n1,x,\n2,yy,3\n")
     assert tables.create_table_from_csv(spark, str(tmp_path / "t.csv"), "made", ["c", "b", "a"]) == [
@@ -81,11 +85,23 @@ def test_table_from_csv(spark, database, tmp_path):
 
 def test_keyed_table_keeps_the_last_version(spark, database):
     tables.create_keyed_table(spark, "keyed", "id STRING, v INT")
-    first = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "id string, v int").coalesce(1)
-    tables.append_keyed(first, "keyed")
-    tables.append_keyed(spark.createDataFrame([("b", 9), ("c", 3)], "id string, v int"), "keyed")
-    rows = sorted(map(tuple, tables.read_keyed(spark, "keyed").collect()))
-    assert rows == [("a", 2), ("b", 9), ("c", 3)]
+    first = spark.createDataFrame([("a", 2), ("b", 1), ("a", 1)], "id string, v int")
+    assert tables.append_keyed(first, "keyed", ["v"]) == 2
+    tables.append_keyed(spark.createDataFrame([("b", 0), ("c", 3)], "id string, v int"), "keyed", ["v"])
+    for _ in range(2):
+        rows = sorted(map(tuple, tables.read_keyed(spark, "keyed").collect()))
+        assert rows == [("a", 2), ("b", 0), ("c", 3)]
+        tables.compact_keyed(spark, "keyed")
+        assert spark.table("keyed").count() == 3
+
+
+def test_keyed_load_follows_the_order_not_the_files(spark, database, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v,at,rest\n1,last,9,x\n2,only,1,x\n")
+    (tmp_path / "b.csv").write_text("id,v,at,rest\n1,first,1,x\n" + "".join(f"{i},z,1,x\n" for i in range(3, 500)))
+    tables.create_keyed_table(spark, "loaded", "id INT, v STRING")
+    assert tables.load_csv_keyed(spark, str(tmp_path), "loaded", ["at"], columns=["v"]) == 499
+    found = {r.id: r.v for r in tables.read_keyed(spark, "loaded").collect()}
+    assert (found[1], found[2], found[499]) == ("last", "only", "z")
 
 
 def test_ids(spark):
@@ -100,11 +116,11 @@ def test_ids(spark):
 def test_absent_connector(spark):
     options = tables.wide_column_options("ks", "t")
     with pytest.warns(RuntimeWarning):
-        assert not tables.append_remote(spark.range(1), "org.apache.spark.sql.cassandra", options)
+        assert not tables.append_remote(spark.range(1), "org.apache.spark.sql.cassandra", options, "warn")
     with pytest.raises(Exception):
-        tables.append_remote(spark.range(1), "org.apache.spark.sql.cassandra", options, "error")
-    url = tables.jdbc_options(host="db", database="logs")
-    assert url["url"] == "jdbc:postgresql://db:5432/logs" and url["batchsize"] == "10000"
+        tables.append_remote(spark.range(1), "org.apache.spark.sql.cassandra", options)
+    url = tables.jdbc_options("db", "logs", "writer", "secret")
+    assert url["url"] == "jdbc:postgresql://db:5432/logs" and url["user"] == "writer"
 
 
 def test_flow_features(spark):
@@ -117,4 +133,5 @@ def test_flow_features(spark):
     assert tuple(rows[0]) == ([10, 0, 0, 1], [1, 2, 3, 4], 1, 2, 2, 0)
     assert rows[1].payload_length == 0
     assert {r.direction_packets for r in flows.flow_totals(table).collect()} == {2}
-    assert flows.flow_listing(table).count() == 2
+    listed = flows.flow_listing(table, "p", "r").collect()
+    assert {(r.src_port, r.dst_port, r.proxy_ip, r.reverse_proxy_ip) for r in listed} == {(1, 2, "p", "r")}

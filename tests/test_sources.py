@@ -2,7 +2,8 @@ import pytest
 
 from logtide.operators.numbering import number_lines
 from logtide.plans.log_features import LogFeaturePlan, features_from_files
-from logtide.sources.lines import lines_per_file, read_lines, replay
+from logtide.sinks.files import write_csv
+from logtide.sources.lines import lines_per_file, read_lines, replay, stream_lines
 from logtide.sources.tables import infer_columns, read_csv, read_feature_csv, run_query
 
 
@@ -10,8 +11,9 @@ from logtide.sources.tables import infer_columns, read_csv, read_feature_csv, ru
 def folder(tmp_path):
     (tmp_path / "a.log").write_bytes(b"  one \r\n\r\n\t\nok \xff\xfe line\rthree")
     (tmp_path / "b").write_text("x\ny\n")
-    (tmp_path / "deep").mkdir()
-    (tmp_path / "deep" / "c.log").write_text("hidden\n")
+    for name in ("deep", "day=2024-01-01"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "c.log").write_text("hidden\n")
     return tmp_path
 
 
@@ -21,19 +23,35 @@ def test_folder_and_file(spark, folder):
     counts = {r.source_file.split("/")[-1]: r.line_count for r in lines_per_file(lines).collect()}
     assert counts == {"a.log": 3, "b": 2}
     assert read_lines(spark, str(folder / "b")).count() == 2
-    assert replay(lines, 2).count() == 2
+    assert [r.line for r in replay(lines, 2).collect()] == ["ok  line", "one"]
+
+
+def test_stream_takes_the_files_of_the_folder_only(spark, folder, tmp_path_factory):
+    out = tmp_path_factory.mktemp("stream")
+    query = stream_lines(spark, str(folder)).select("line").writeStream.format("parquet")
+    query = query.option("checkpointLocation", str(out / "progress")).trigger(availableNow=True)
+    query.start(str(out / "lines")).awaitTermination()
+    lines = [r.line for r in spark.read.parquet(str(out / "lines")).collect() if r.line]
+    assert sorted(lines) == ["ok  line", "one", "three", "x", "y"]
+
+
+def test_hidden_files_are_reported(spark, tmp_path):
+    (tmp_path / "_old.log").write_text("gone\n")
+    (tmp_path / "new.log").write_text("here\n")
+    with pytest.warns(RuntimeWarning, match="1 hidden"):
+        assert [r.line for r in read_lines(spark, str(tmp_path)).collect()] == ["here"]
 
 
 def test_missing_path_warns_or_raises(spark, folder):
     missing = str(folder / "nothing")
     with pytest.warns(RuntimeWarning):
-        assert read_lines(spark, missing).count() == 0
+        assert read_lines(spark, missing, on_missing="warn").count() == 0
     with pytest.warns(RuntimeWarning):
-        assert read_lines(spark, [missing, str(folder / "b")]).count() == 2
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_lines(spark, missing, on_missing="error")
+        assert read_lines(spark, [missing, str(folder / "b")], on_missing="warn").count() == 2
+    with pytest.raises(FileNotFoundError):
+        read_lines(spark, missing)
     with pytest.warns(RuntimeWarning):
-        assert LogFeaturePlan(spark).from_folder(missing).run().count() == 0
+        assert LogFeaturePlan(spark, on_missing="warn").from_folder(missing).run().count() == 0
 
 
 def test_line_numbers_of_split_files(spark, tmp_path):
@@ -86,28 +104,58 @@ def test_csv(spark, tmp_path):
         read_csv(spark, str(tmp_path / "none.csv"))
 
 
+def test_csv_keeps_quoted_text(spark, tmp_path):
+    rows = [(1, 'GET "/a, b"'), (2, "two\nlines"), (3, "NA"), (4, "back\\slash")]
+    table = spark.createDataFrame(rows, "id int, said string")
+    write_csv(table, str(tmp_path / "t"))
+    read = read_csv(spark, str(tmp_path / "t"))
+    found = sorted(map(tuple, read.collect()))
+    assert found == [(1, rows[0][1]), (2, rows[1][1]), (3, None), (4, rows[3][1])]
+    assert read.dtypes == [("id", "int"), ("said", "string")]
+
+
+FEATURE_HEAD = (
+    "window_start,window_end,event_count,unique_messages,distinct_hosts,distinct_processes,"
+    "avg_msg_length,failed_auth_count,invalid_user_count,entropy_tokens\n"
+)
+
+
 def test_feature_csv_is_strict(spark, tmp_path):
     path = tmp_path / "f.csv"
-    head = (
-        "window_start,window_end,event_count,unique_messages,distinct_hosts,distinct_processes,"
-        "avg_msg_length,failed_auth_count,invalid_user_count,entropy_tokens\n"
-    )
-    path.write_text(head + "2025-06-14 15:16:01,2025-06-14 15:17:01,3,2,1,1,63.3,0,0,4.08\n")
-    assert read_feature_csv(spark, str(path)).first().event_count == 3
-    path.write_text(head + "junk,2025-06-14 15:17:01,3,2,1,1,63.3,0,0,4.08\n")
-    with pytest.raises(Exception, match="MALFORMED|malformed|FAILED_READ"):
+    path.write_text(FEATURE_HEAD + "2023-03-04 05:06:07,2023-03-04 05:07:07,9,8,2,3,41.5,1,0,3.25\n")
+    assert read_feature_csv(spark, str(path)).first().event_count == 9
+    path.write_text(FEATURE_HEAD + "junk,2023-03-04 05:07:07,9,8,2,3,41.5,1,0,3.25\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read_feature_csv(spark, str(path)).collect()
 
 
+def test_feature_csv_is_read_by_name(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    swapped = FEATURE_HEAD.replace("window_start,window_end", "window_end,window_start")
+    path.write_text(swapped + "2023-03-04 05:07:07,2023-03-04 05:06:07,9,8,2,3,41.5,1,0,3.25\n")
+    row = read_feature_csv(spark, str(path)).first()
+    assert row.window_start < row.window_end
+    path.write_text("window_start\n2023-03-04 05:07:07\n")
+    with pytest.raises(ValueError, match="window_end"):
+        read_feature_csv(spark, str(path))
+
+
 def test_query_parameters(spark):
     spark.range(5).createOrReplaceTempView("five")
     assert run_query(spark, "SELECT id FROM five WHERE id > %s AND id < %s", [1, 3]).first().id == 2
+    assert run_query(spark, "SELECT 'a%s' AS x, 7 % 4 AS y").first() == ("a%s", 3)
+    assert run_query(spark, "SELECT 'it''s %s' AS x, 7 %% 4 AS y, %s AS z", [9]).first() == ("it's %s", 3, 9)
 
 
 def test_inferred_types(spark):
-    rows = [("1", "1", "1.5", "True", "abc", "", "z" * 300), ("-2", None, "2", "False", None, None, "y")]
-    table = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    rows = [
+        ("1", "1", "1.5", "True", "abc", "", "z" * 300, "5000000000"),
+        ("-2", None, "2", "False", None, None, "y", "1"),
+    ]
+    table = spark.createDataFrame(
+        rows, "a string, b string, c string, d string, e string, f string, g string, h string"
+    )
     assert dict(infer_columns(table)) == {
         "a": "INTEGER", "b": "DOUBLE PRECISION", "c": "DOUBLE PRECISION", "d": "VARCHAR(15)",
-        "e": "VARCHAR(13)", "f": "DOUBLE PRECISION", "g": "TEXT",
+        "e": "VARCHAR(13)", "f": "DOUBLE PRECISION", "g": "TEXT", "h": "BIGINT",
     }
