@@ -57,8 +57,8 @@ class Kept(dict):
         return value
 
 
-class Codec:
-    """Encoder and decoder of a byte-level vocabulary file in JSON."""
+class Vocabulary:
+    """The tokens of a byte-level vocabulary file in JSON, and decoding with them."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -78,9 +78,32 @@ class Codec:
         self.token_bytes = pieces
         self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)
         self.blob = np.frombuffer(b"".join(pieces), np.uint8)
+        self.ordinary = raw
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self._learn(model["model"]["merges"], vocab, raw)
+
+    def _learn(self, merges: list, vocab: dict[str, int], raw: dict[int, bytes]) -> None:
+        """Merges matter to the encoder only."""
+
+    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all ids, one after the other."""
+        starts = self.offsets[ids]
+        lengths = self.offsets[ids + 1] - starts
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.blob[np.repeat(starts - ends + lengths, lengths) + np.arange(total)]
+
+    def decode_offsets(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the texts of the id runs between `bounds` start and end in those bytes."""
+        lengths = self.offsets[ids + 1] - self.offsets[ids]
+        return np.concatenate([[0], np.cumsum(lengths)])[bounds]
+
+class Codec(Vocabulary):
+    """Encoder and decoder of a byte-level vocabulary file in JSON."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
         self.pattern = regex.compile(PIECES)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.piece_ids = Kept(self._encode_piece)
         self.inner = Kept(lambda part: self._pieces(" " + part))
 
@@ -190,19 +213,6 @@ class Codec:
         first, *rest = text.split(" ")
         return self._pieces(first) + b"".join(map(self.inner.__getitem__, rest))
 
-    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of all ids, one after the other."""
-        starts = self.offsets[ids]
-        lengths = self.offsets[ids + 1] - starts
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.blob[np.repeat(starts - ends + lengths, lengths) + np.arange(total)]
-
-    def decode_offsets(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Where the texts of the id runs between `bounds` start and end in those bytes."""
-        lengths = self.offsets[ids + 1] - self.offsets[ids]
-        return np.concatenate([[0], np.cumsum(lengths)])[bounds]
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:

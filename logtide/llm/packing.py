@@ -18,13 +18,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles, TaskContext
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.llm.bpe import vocabulary
 from logtide.llm.quick_tokens import encoder
-from logtide.llm.shared import column_bytes, plain_batch, steps, stored, whole_text
+from logtide.llm.shared import column_bytes, partitions_for, plain_batch, steps, stored, whole_text
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -192,25 +192,13 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     without gaps from offset 0. Other columns go along. No rows give no rows.
     """
     spark, names = pieces.sparkSession, pieces.columns
-    shape = pieces.withColumn("_part", F.lit(0)).withColumn("_rank", F.lit(0).cast("long")).schema
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rank within the rows of one length of this partition."""
-        part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            lengths = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)
-            order = np.argsort(lengths, kind="stable")
-            ordered = lengths[order]
-            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else []
-            counts = np.diff(np.r_[starts, len(ordered)]).astype(np.int64)
-            ranks = np.empty(len(lengths), np.int64)
-            ranks[order] = np.arange(len(ordered)) - np.repeat(starts, counts) + seen[ordered]
-            seen[ordered[starts]] += counts
-            columns = {n: batch.column(i) for i, n in enumerate(names)}
-            yield plain_batch(columns | {"_part": np.full(len(ranks), part, np.int32), "_rank": ranks})
-
-    # Stored, since the ranks must be those of the rows that are counted.
-    numbered = stored(pieces.mapInArrow(number, shape), "pieces")
+    # Ranks within parts of a length, so that a length of a third of all pieces is many
+    # parts. They are stored, since they must be those of the rows that are counted.
+    part = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(partitions_for(pieces))).cast("int")
+    own = Window.partitionBy("_part", "length").orderBy("length")
+    numbered = stored(
+        pieces.withColumn("_part", part).withColumn("_rank", F.row_number().over(own).cast("long") - 1), "pieces"
+    )
     by_part = numbered.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_part.select("_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

@@ -13,16 +13,16 @@ from functools import lru_cache
 
 import tiktoken
 
-from logtide.llm.bpe import PIECES, codec
+from logtide.llm.bpe import PIECES, Vocabulary
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Callable[[str], bytes]:
     """Whole text to packed 32-bit ids. The vocabulary's ids must follow its merges."""
-    table = codec(path)
-    ranks = {text: number for number, text in enumerate(table.token_bytes) if number in table.rank}
+    table = Vocabulary(path)
+    ranks = {text: number for number, text in table.ordinary.items()}
     inner = tiktoken.Encoding("vocabulary", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-    special = table.special
+    special, cut = table.special, table.cut
 
     def ordinary(text: str) -> bytes:
         return inner.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
@@ -30,7 +30,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
     def encode(text: str) -> bytes:
         if not any(name in text for name in special):
             return ordinary(text)
-        parts = table.cut.split(text)
+        parts = cut.split(text)
         return b"".join(array("I", [special[x]]).tobytes() if x in special else ordinary(x) for x in parts)
 
     return encode
