@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -59,7 +60,8 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+           "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="compare-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)

@@ -88,3 +88,32 @@ def autoencoder_sql(source: str) -> str:
     )
     parts.append(f"errors AS (SELECT *, ({squares}) / {len(inputs)} AS err FROM {previous})")
     return ",\n".join(parts)
+
+
+def gradient_sql(source: str) -> str:
+    """`WITH` tables and a SELECT of i, mean: derivatives of the squared error by each parameter.
+
+    Parameters count layer by layer, weights row by row before biases; the last row is
+    the squared error itself. Means over rows, as sums depend on how many there are.
+    """
+    model = fixed_autoencoder()
+    last = len(model.weights) - 1
+    values = [list(NUMERIC_FEATURES)]
+    values += [[f"n{layer}_{j}" for j in range(len(b))] for layer, b in enumerate(model.biases)]
+    ys = values[-1]
+    first = [f"2 * ({y} - {x}) * {y} * (1 - {y}) AS d{last}_{j}" for j, (y, x) in enumerate(zip(ys, values[0], strict=True))]
+    parts = [f"delta{last} AS (SELECT *, {', '.join(first)} FROM errors)"]
+    for layer in range(last - 1, -1, -1):
+        weights = model.weights[layer + 1]
+        cells = []
+        for i, value in enumerate(values[layer + 1]):
+            back = " + ".join(f"d{layer + 1}_{j} * {float(w)!r}::DOUBLE" for j, w in enumerate(weights[:, i]))
+            cells.append(f"CASE WHEN {value} > 0 THEN {back} ELSE 0 END AS d{layer}_{i}")
+        parts.append(f"delta{layer} AS (SELECT *, {', '.join(cells)} FROM delta{layer + 1})")
+    sums = []
+    for layer, biases in enumerate(model.biases):
+        sums += [f"avg(d{layer}_{j} * {x})" for j in range(len(biases)) for x in values[layer]]
+        sums += [f"avg(d{layer}_{j})" for j in range(len(biases))]
+    sums.append(f"avg(err * {len(values[0])})")
+    listed = f"SELECT unnest(range({len(sums)}))::INT AS i, unnest([{', '.join(sums)}]) AS mean FROM delta0"
+    return f"{autoencoder_sql(source)}, {', '.join(parts)} SELECT i, round(mean, 5) + 0.0 AS mean FROM ({listed})"

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalog.derived import LINES_SQL, YEAR, log_lines, table
-from catalog.fixed_models import fixed_autoencoder, fixed_forest
+from catalog.fixed_models import fixed_autoencoder, fixed_forest, gradient_sql
 from catalog.labels import (
     FEATURES_CTE,
     LABELLED_CTE,
+    LABELLED_SQL,
     NOISE_SQL,
     PARSED_CTE,
     events,
@@ -27,11 +28,12 @@ from catalog.labels import (
 )
 from logtide.functions import fields as X
 from logtide.functions import patterns as P
+from logtide.functions.quantiles import exact_quantile
 from logtide.operators import flows, monitor, results, windows
-from logtide.operators.autoencoder import train_autoencoder
-from logtide.operators.density import label_noise
+from logtide.operators.autoencoder import epoch_sums, train_autoencoder
+from logtide.operators.density import core_points, label_noise
 from logtide.operators.ensemble import attach_labels, ensemble_vote
-from logtide.operators.iforest import fit_isolation_forest
+from logtide.operators.iforest import average_path, fit_isolation_forest, tree_samples
 from logtide.operators.numbering import number_lines
 from logtide.operators.parse import harmonize, parse_lines, parse_statistics
 from logtide.operators.registry import DensityNoise, ModelRegistry, load_registry
@@ -459,11 +461,41 @@ def _(spark, sf_dir):
 # --- detectors ------------------------------------------------------------------------
 
 
-@query("m1_isolation_forest_fit")
+@query(
+    "m1_isolation_forest_fit",
+    f"""{FEATURES_CTE} SELECT tree, least(256, (SELECT count(*) FROM features)) AS sampled_rows,
+          true AS has_twice_its_leaves_less_one, true AS is_of_bounded_depth, true AS cuts_lie_in_range
+        FROM (SELECT unnest(range(100)) AS tree)""",
+)
 def _(spark, sf_dir):
-    forest = fit_isolation_forest(stored_features(spark, sf_dir))
+    """What every tree must be like, whatever its random cuts, and the size of its sample."""
+    stored = stored_features(spark, sf_dir)
+    forest = fit_isolation_forest(stored)
     nodes = spark.createDataFrame(forest.nodes)
-    return nodes.groupBy("tree").agg(
+    limits = stored.agg(
+        F.array(*[F.min(c).cast("double") for c in P.NUMERIC_FEATURES]).alias("least"),
+        F.array(*[F.max(c).cast("double") for c in P.NUMERIC_FEATURES]).alias("most"),
+    )
+    feature = F.col("feature").cast("int")
+    within = F.col("threshold").between(F.get("least", feature), F.get("most", feature))
+    leaf = F.col("feature") < 0
+    # A leaf's path is its depth and what its rows would still need: depth 8 at most.
+    longest = 8 + float(average_path(256))
+    trees = nodes.join(F.broadcast(limits)).groupBy("tree").agg(
+        (F.count(F.lit(1)) == 2 * F.count_if(leaf) - 1).alias("has_twice_its_leaves_less_one"),
+        F.bool_and(~leaf | (F.col("path") <= longest)).alias("is_of_bounded_depth"),
+        F.bool_and(leaf | within).alias("cuts_lie_in_range"),
+    )
+    rows = stored.count()
+    samples = tree_samples(stored, ["window_start"], P.NUMERIC_FEATURES, rows, 100, 256, 0)
+    sizes = samples.groupBy("tree").agg(F.count(F.lit(1)).alias("sampled_rows"))
+    return trees.join(sizes, "tree")
+
+
+@query("m1_isolation_forest_trees")
+def _(spark, sf_dir):
+    forest = fit_isolation_forest(stored_features(spark, sf_dir))
+    return spark.createDataFrame(forest.nodes).groupBy("tree").agg(
         F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("feature") < 0).alias("leaves")
     )
 
@@ -490,6 +522,19 @@ def _(spark, sf_dir):
     return label_noise(stored_features(spark, sf_dir)).select("window_start", "dbscan_label")
 
 
+@query("m4_autoencoder_gradient", f"{FEATURES_CTE}, {gradient_sql('features')}")
+def _(spark, sf_dir):
+    """Gradient and loss of one epoch from fixed weights."""
+    stored, model = stored_features(spark, sf_dir), fixed_autoencoder()
+    vectors = stored.select(*P.NUMERIC_FEATURES, F.lit(1.0).alias("_w"))
+    gradient, loss = epoch_sums(vectors, model)
+    numbers = [*gradient, loss]
+    rows = [(i, float(x)) for i, x in enumerate(numbers)]
+    scale = stored.agg(F.count(F.lit(1)).alias("_n"))
+    made = spark.createDataFrame(rows, "i int, total double").join(F.broadcast(scale))
+    return made.select("i", (F.round(F.col("total") / F.col("_n"), 5) + F.lit(0.0)).alias("mean"))
+
+
 @query("m4_autoencoder_train")
 def _(spark, sf_dir):
     model = train_autoencoder(stored_features(spark, sf_dir))
@@ -535,7 +580,25 @@ def _(spark, sf_dir):
     return ensemble_vote(attach_labels(stored, *labels))
 
 
-@query("m8_model_registry")
+@query(
+    "m8_model_registry",
+    f"{LABELLED_CTE} SELECT window_start, {', '.join(P.LABEL_COLUMNS)} FROM labelled",
+)
+def _(spark, sf_dir):
+    """All three detectors, saved and loaded again."""
+    stored = stored_features(spark, sf_dir)
+    registry, path = ModelRegistry(), scratch_path(spark, "models")
+    registry.add("isolation_forest", forest_with_threshold(stored))
+    registry.add("dbscan", DensityNoise())
+    registry.add("autoencoder", fixed_autoencoder())
+    registry.save(spark, path)
+    saved, made = load_registry(spark, path), stored
+    for name in ("isolation_forest", "autoencoder", "dbscan"):
+        made = saved.predict(made, name)
+    return ensemble_vote(made).select("window_start", *P.LABEL_COLUMNS)
+
+
+@query("m8_trained_registry")
 def _(spark, sf_dir):
     stored = stored_features(spark, sf_dir)
     path = scratch_path(spark, "models")
@@ -824,16 +887,44 @@ def _(spark, sf_dir):
     return rounded(spark.read.parquet(sink))
 
 
-@query("t3_stream_labels")
+@query(
+    "t3_stream_labels",
+    f"""{_STREAM_FEATURES}, {LABELLED_SQL}
+        SELECT window_start, {', '.join(P.LABEL_COLUMNS)} FROM labelled""",
+)
+def _(spark, sf_dir):
+    """Fixed detectors with stored thresholds and core points on a stream."""
+    folder = _line_folder(spark, sf_dir)
+
+    def stream() -> DataFrame:
+        lines = parse_stream(stream_lines(spark, folder), YEAR)
+        return rounded(stream_features(lines, origin=STREAM_ORIGIN))
+
+    seen = scratch_path(spark, "features")
+    _run_stream(stream(), seen)
+    known = spark.read.parquet(seen)
+    encoder, registry = fixed_autoencoder(), ModelRegistry()
+    encoder.threshold = exact_quantile(known.select(encoder.error().alias("e")), "e", 0.9)
+    registry.add("isolation_forest", forest_with_threshold(known))
+    registry.add("dbscan", DensityNoise(cores=core_points(known)))
+    registry.add("autoencoder", encoder)
+    return _labelled_stream(stream(), registry).select("window_start", *P.LABEL_COLUMNS)
+
+
+def _labelled_stream(features: DataFrame, registry: ModelRegistry) -> DataFrame:
+    spark = features.sparkSession
+    sink, progress = scratch_path(spark, "labels"), scratch_path(spark, "progress")
+    writer = write_labels(features, registry, sink, progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink).drop("batch_id")
+
+
+@query("t3_trained_stream_labels")
 def _(spark, sf_dir):
     stored = stored_features(spark, sf_dir)
     registry = AnomalyPlan(epochs=5).fit(stored).keep_for_streams(stored).registry
     stream = parse_stream(stream_lines(spark, _line_folder(spark, sf_dir)), YEAR)
-    sink = scratch_path(spark, "labels")
-    progress = scratch_path(spark, "progress")
-    writer = write_labels(stream_features(stream, origin=STREAM_ORIGIN), registry, sink, progress)
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(sink).drop("batch_id")
+    return _labelled_stream(stream_features(stream, origin=STREAM_ORIGIN), registry)
 
 
 # --- network flows ------------------------------------------------------------------------
@@ -967,7 +1058,7 @@ def _(spark, sf_dir):
         SELECT round(max(abs(fe - fa)), 9) AS ks FROM shares""",
 )
 def _(spark, sf_dir):
-    drift = monitor.ks_statistic(_halves(spark, sf_dir), "value", F.col("late"), 10.0)
+    drift = monitor.ks_statistic(_halves(spark, sf_dir), "value", F.col("late"))
     return drift.select(F.round("ks", 9).alias("ks"))
 
 

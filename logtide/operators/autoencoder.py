@@ -1,4 +1,4 @@
-"""Autoencoder: full-batch training as sums over the cluster, scoring in Arrow batches."""
+"""Autoencoder: full-batch training as sums over the cluster, scoring as expressions."""
 
 from __future__ import annotations
 
@@ -25,6 +25,18 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
+def _sum(parts: Sequence[Column]) -> Column:
+    total = parts[0]
+    for part in parts[1:]:
+        total = total + part
+    return total
+
+
+def _bound(value: Column, then) -> Column:
+    """`then(value)`, with the value computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 @dataclass
 class Autoencoder:
     """Weights per layer (outputs x inputs) and biases."""
@@ -80,16 +92,31 @@ class Autoencoder:
         return np.concatenate(parts), float((error**2 * share[:, None]).sum())
 
     def error(self) -> Column:
-        """Mean squared reconstruction error of a row, computed in Arrow batches."""
+        """Mean squared reconstruction error of a row as a column expression.
+
+        Each layer is bound to a lambda variable, so that it is computed once a row. An
+        input that is NULL or no number gives NULL.
+        """
+        x = F.array(*[F.col(c).cast("double") for c in self.columns])
+        last = len(self.weights) - 1
+
+        def squares(given: Column, made: Column) -> Column:
+            parts = [F.pow(given[i] - made[i], F.lit(2.0)) for i in range(len(self.columns))]
+            return _sum(parts) / len(self.columns)
 
-        @F.pandas_udf("double")
-        def squared_error(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            for columns in batches:
-                x = np.column_stack([c.to_numpy(dtype="float64") for c in columns])
-                found = ((self.outputs(x)[-1] - x) ** 2).mean(axis=1)
-                yield pd.Series(found).where(np.isfinite(found), None)
+        def layer(i: int, given: Column, value: Column) -> Column:
+            outputs = []
+            for weights, bias in zip(self.weights[i].tolist(), self.biases[i].tolist(), strict=True):
+                z = _sum([value[j] * w for j, w in enumerate(weights)]) + bias
+                z = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z)) if i == last else z
+                outputs.append(1 / (1 + F.exp(-z)) if i == last else F.greatest(z, F.lit(0.0)))
+            made = F.array(*outputs)
+            after = squares if i == last else lambda g, m: layer(i + 1, g, m)
+            return _bound(made, lambda m: after(given, m))
 
-        return squared_error(*[F.col(c).cast("double") for c in self.columns])
+        missing = _sum([F.col(c).cast("double") for c in self.columns])
+        found = _bound(x, lambda v: layer(0, v, v))
+        return F.when(missing.isNotNull() & ~F.isnan(missing) & (F.abs(missing) < float("inf")), found)
 
     def label(
         self, table: DataFrame, percentile: float = 90, threshold: float | None = None,
@@ -128,7 +155,7 @@ def train_autoencoder(
         mean, spread = np.zeros_like(flat), np.zeros_like(flat)
         for epoch in range(1, epochs + 1):
             model = model.replaced(flat)
-            gradient, loss = _epoch(vectors, model)
+            gradient, loss = epoch_sums(vectors, model)
             gradient, loss = gradient / (rows * len(columns)), loss / (rows * len(columns))
             model.losses.append(loss)
             mean = 0.9 * mean + 0.1 * gradient
@@ -140,8 +167,8 @@ def train_autoencoder(
         vectors.unpersist()
 
 
-def _epoch(vectors: DataFrame, model: Autoencoder) -> tuple[np.ndarray, float]:
-    """Gradient and squared error summed over all rows."""
+def epoch_sums(vectors: DataFrame, model: Autoencoder) -> tuple[np.ndarray, float]:
+    """Gradient and squared error summed over all rows, each counted `_w` times."""
     size = model.parameters().size
     columns = model.columns
 

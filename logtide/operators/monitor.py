@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from logtide.functions.patterns import NUMERIC_FEATURES
@@ -52,7 +52,7 @@ def sessions(events: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFr
     One key may hold any share of the events, so its events are never sorted in
     one task. Each is put into a slot of the length of the gap. Events of one slot
     always belong together, so slots are summed first, with map-side combine, and
-    only slots are ordered per key.
+    ordered in chunks of a bounded number of slots.
     """
     gap = gap_seconds * 1_000_000
     at = F.unix_micros("timestamp")
@@ -65,19 +65,41 @@ def sessions(events: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFr
             F.count(F.lit(1)).alias("_n"),
         )
     )
-    by_key = Window.partitionBy(*keys).orderBy("_slot")
-    pause = F.col("_first") - F.lag("_last").over(by_key)
-    return (
-        slots.withColumn("_new", F.when(pause <= gap, 0).otherwise(1))
-        .withColumn("_session", F.sum("_new").over(by_key))
-        .groupBy(*keys, "_session")
-        .agg(
-            F.timestamp_micros(F.min("_first")).alias("session_start"),
-            F.timestamp_micros(F.max("_last") + gap).alias("session_end"),
-            F.sum("_n").alias("event_count"),
-        )
-        .drop("_session")
+    # Within chunks of slots first: what lies between the first and the last run of a
+    # chunk is complete. Only those two per chunk are put in order over the whole key.
+    slots = slots.withColumn("_chunk", F.floor(F.col("_slot") / CHUNK_SLOTS))
+    in_chunk = Window.partitionBy(*keys, "_chunk")
+    runs = (
+        _numbered_runs(slots, in_chunk.orderBy("_slot"), gap)
+        .groupBy(*keys, "_chunk", "_run")
+        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+        .withColumn("_runs", F.max("_run").over(in_chunk))
     )
+    at_edge = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
+    columns = [*keys, "_first", "_last", "_n"]
+    merged = (
+        _numbered_runs(runs.filter(at_edge).select(*columns), Window.partitionBy(*keys).orderBy("_first"), gap)
+        .groupBy(*keys, "_run")
+        .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+        .select(*columns)
+    )
+    return runs.filter(~at_edge).select(*columns).unionByName(merged).select(
+        *keys,
+        F.timestamp_micros("_first").alias("session_start"),
+        F.timestamp_micros(F.col("_last") + gap).alias("session_end"),
+        F.col("_n").alias("event_count"),
+    )
+
+
+#: Slots of a key that one task puts in order.
+CHUNK_SLOTS = 10_000
+
+
+def _numbered_runs(spans: DataFrame, order: WindowSpec, gap: int) -> DataFrame:
+    """`_run` numbers the spans of a window without a longer pause, from 1."""
+    pause = F.col("_first") - F.lag("_last").over(order)
+    fresh = spans.withColumn("_new", F.when(pause <= gap, 0).otherwise(1))
+    return fresh.withColumn("_run", F.sum("_new").over(order)).drop("_new")
 
 
 def psi(
@@ -111,21 +133,27 @@ def psi(
     )
 
 
-def ks_statistic(
-    table: DataFrame, value: str, is_current: Column, slice_width: float
-) -> DataFrame:
+def ks_statistic(table: DataFrame, value: str, is_current: Column, slices: int = 64) -> DataFrame:
     """Largest gap between the two distribution functions of `value`, exactly.
 
-    Values are counted, then summed up in slices of `slice_width`: within a slice
-    and over the slices. No task sorts all values.
+    Values are counted, then cut into slices with about as many different values each,
+    whatever their range. Counts are summed within a slice and over the few slices. No
+    task sorts all values, and a value with most rows is one count.
     """
     counts = (
         table.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).alias("_v"))
         .agg(F.count_if(~is_current).alias("_e"), F.count_if(is_current).alias("_a"))
-        .withColumn("_slice", F.floor(F.col("_v") / slice_width))
     )
+    shares = [i / slices for i in range(1, slices)]
+    # As many numbers as there are slices; any edges give the same result.
+    edges = sorted(set(counts.agg(F.approx_percentile("_v", shares)).first()[0] or []))
+    place = F.lit(0)
+    for edge in edges:
+        place = place + (F.col("_v") > edge).cast("int")
+    counts = counts.withColumn("_slice", place)
     per_slice = counts.groupBy("_slice").agg(F.sum("_e").alias("se"), F.sum("_a").alias("sa"))
+    # At most `slices` rows, so one task may sum them up.
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     starts = per_slice.select(
@@ -140,9 +168,7 @@ def ks_statistic(
         F.try_divide(F.col("_be") + F.sum("_e").over(upto), "_te")
         - F.try_divide(F.col("_ba") + F.sum("_a").over(upto), "_ta")
     )
-    return (
-        counts.join(starts, "_slice").select(gap.alias("_gap")).agg(F.max("_gap").alias("ks"))
-    )
+    return counts.join(F.broadcast(starts), "_slice").select(gap.alias("_gap")).agg(F.max("_gap").alias("ks"))
 
 
 def precision_recall_at_k(

@@ -13,7 +13,10 @@ def test_standardize(spark):
     assert rows == [(-1.0, 0.0), (1.0, 0.0)]
 
 
-def test_sessions_equal_brute_force(spark):
+@pytest.mark.parametrize("chunk", [10_000, 1, 3])
+def test_sessions_equal_brute_force(spark, monkeypatch, chunk):
+    """One key holds most rows; small chunks cut its sessions."""
+    monkeypatch.setattr(monitor, "CHUNK_SLOTS", chunk)
     rng = random.Random(5)
     base = datetime(2024, 1, 1)
     rows = [("hot" if i % 3 else f"k{i % 5}", base + timedelta(seconds=rng.choice([60, 1, 30]) * rng.randint(0, 300)))
@@ -38,9 +41,12 @@ def test_drift(spark):
     old, new = [rng.gauss(0, 1) for _ in range(300)], [rng.gauss(0.5, 1) for _ in range(200)]
     table = spark.createDataFrame([(v, False) for v in old] + [(v, True) for v in new], "v double, now boolean")
     gap = max(abs(sum(x <= v for x in old) / 300 - sum(x <= v for x in new) / 200) for v in old + new)
-    for width in (0.01, 1.0, 100.0):
-        found = monitor.ks_statistic(table, "v", F.col("now"), width).first().ks
+    for slices in (1, 7, 64):
+        found = monitor.ks_statistic(table, "v", F.col("now"), slices).first().ks
         assert found == pytest.approx(gap)
+    hot = table.withColumn("v", F.when(F.col("v") < 0.8, 0.0).otherwise(F.col("v")))
+    below = sum(x < 0.8 for x in old) / 300, sum(x < 0.8 for x in new) / 200
+    assert monitor.ks_statistic(hot, "v", F.col("now")).first().ks >= abs(below[0] - below[1]) - 1e-12
     assert monitor.psi(table, "v", F.col("now"), [-1, 0, 1]).first().psi > 0.05
     same = table.withColumn("v", F.lit(0.0))
     assert monitor.psi(same, "v", F.col("now"), [-1, 0, 1]).first().psi == pytest.approx(0)

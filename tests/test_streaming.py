@@ -1,3 +1,4 @@
+from pathlib import Path
 from datetime import datetime
 
 from logtide.operators.parse import harmonize, parse_lines
@@ -53,6 +54,23 @@ def test_closed_windows_equal_the_batch(spark, tmp_path):
     assert mine == theirs
 
 
+def test_micro_batches_leave_no_scratch(spark, tmp_path):
+    write_lines(tmp_path / "in")
+    batch = window_features(harmonize(parse_lines(read_lines(spark, str(tmp_path / "in")))), 60, ORIGIN).cache()
+    registry = AnomalyPlan(epochs=1).fit(batch).keep_for_streams(batch).registry
+    batch.repartition(3).write.parquet(str(tmp_path / "features"))
+    stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "features"))
+
+    def left() -> set[str]:
+        return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+    before = left()
+    writer = write_labels(stream, registry, str(tmp_path / "labels"), str(tmp_path / "progress"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "labels")).select("batch_id").distinct().count() == 3
+    assert left() == before
+
+
 def test_blank_records_stay(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a").write_text(" a \n\n")
