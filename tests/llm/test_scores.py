@@ -131,12 +131,12 @@ def test_predictions_sum_to_one(spark):
     """Over a context's followers, the other known words and the one unknown type."""
     docs = pitman_yor.prepared(frame(spark, [(i, f"a {'b' if i % 3 else 'c'} a d") for i in range(60)]))
     model = pitman_yor.Model(docs)
-    parent = {r.word: r for r in model.parent.collect()}
-    rooms = {r.context: r for r in model.contexts.collect()}
+    parent = {r.word: r for r in model.after.parent.collect()}
+    rooms = {r.context: r for r in model.after.contexts.collect()}
     pairs = model.rows(pitman_yor.REPEATED).collect()
     seats = {r.pair: r for r in model.seated.collect()}
     for chain in range(pitman_yor.CHAINS):
-        place = model.parents[chain]
+        place = model.after.parents[chain]
         above = {w: place.chance(r[f"n{chain}"], r[f"t{chain}"]) for w, r in parent.items()}
         assert sum(above.values()) + place.chance(0, 0) == pytest.approx(1)
         for context, room in rooms.items():
@@ -149,6 +149,20 @@ def test_predictions_sum_to_one(spark):
                 assert (inside + rest) / (pitman_yor.STRENGTH + customers) == pytest.approx(1)
 
 
+def test_groups_repeat_the_draws_of_the_last_sweep(spark):
+    docs = pitman_yor.prepared(frame(spark, [(i, f"a b a c {'b' if i % 2 else 'c'} a b d{i % 3}") for i in range(80)]))
+    model = pitman_yor.Model(docs)
+    seated = {r.pair: (r.t0, r.t1) for r in model.seated.collect()}
+    rows = model.answers().toArrow()
+    for group in set(rows.column("grp").to_pylist()):
+        own = rows.filter([x == group for x in rows.column("grp").to_pylist()])
+        told = pitman_yor.Numbers(*pitman_yor._answer(own, pitman_yor.WORDS, pitman_yor.Numbers.WIDTH))
+        pairs, counts, _ = pitman_yor._answer(own, pitman_yor.PAIRS, 0)
+        seats = told.seats(pairs, counts, model.discount, model.before.parents)
+        for pair, one, two, n in zip(pairs.view(np.int64).tolist(), *seats, counts, strict=True):
+            assert (one, two) == (seated[pair] if n > 1 else (1, 1))
+
+
 def test_seats_stay_within_their_customers():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 1 << 62, 500).astype(np.uint64)
