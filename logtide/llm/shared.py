@@ -31,8 +31,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(table: DataFrame, name: str) -> DataFrame:
-    """`table` written to the shared folder and read back.
+def stored(table: DataFrame, name: str, parts: str | None = None) -> DataFrame:
+    """`table` written to the shared folder and read back, in folders per value of `parts`.
 
     It cuts the lineage, survives lost executors and is computed once. The shuffles
     behind it are not needed any more, so Spark is told to remove their files.
@@ -42,7 +42,8 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        table.write.option("compression", "zstd").parquet(path)
+        writer = table.write.option("compression", "zstd")
+        (writer.partitionBy(parts) if parts else writer).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     result = spark.read.schema(table.schema).parquet(path)
@@ -50,11 +51,11 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return result
 
 
-def discard(*tables: DataFrame) -> None:
-    """Remove stored tables that nothing will read again."""
+def discard(*tables: DataFrame, part: str = "") -> None:
+    """Remove stored tables, or the folder `part` of them, that nothing will read again."""
     for table in tables:
         spark = table.sparkSession
-        place = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{table.scratch}/{part}".rstrip("/"))
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 

@@ -29,7 +29,7 @@ from logtide.llm.seeds import (
     results_for,
     with_places,
 )
-from logtide.llm.shared import column_bytes, partitions_for, plain_batch, steps, stored
+from logtide.llm.shared import column_bytes, discard, partitions_for, plain_batch, steps, stored
 
 WINDOW = 50
 GRAM = 24
@@ -333,9 +333,10 @@ def remove_repeats(docs: DataFrame, kept: Callable[[Column], Column] = lambda te
     copies, texts = distinct_texts(docs)
     seeds = repeated_seeds(texts, "bytes", GRAM, WINDOW)
     contexts = stored(with_places(texts, seeds).mapInArrow(_contexts, CONTEXT), "contexts")
-    spans = repeated_spans(contexts).groupBy("first", "tie").agg(
-        F.collect_list(F.struct("start", "stop")).alias("spans")
-    )
+    discard(seeds)
+    found = stored(repeated_spans(contexts), "spans")
+    discard(contexts)
+    spans = found.groupBy("first", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     none = F.array().cast("array<struct<start:int,stop:int>>")
     marked = texts.join(spans, ["first", "tie"], "left").select(
         "first", "tie", F.coalesce("spans", none).alias("spans"), "text"
