@@ -6,7 +6,7 @@ the same seed meet in one group. Groups are merge-sorted; a comparison finds how
 suffixes agree by binary search over prefix hashes and looks at one byte behind. Bytes
 before the seed are sorted likewise from right to left. Agreements between neighbours
 are then checked byte by byte, which excludes hash collisions, and tell for each offset
-which suffixes lie in the same 50 bytes. Equal surroundings of one step are one suffix
+which suffixes lie in the same 50 bytes. Equal surroundings nearby are one suffix
 that lists its places. A seed with too many suffixes is replaced by longer ones.
 """
 
@@ -38,11 +38,13 @@ SPAN = LEFT + WINDOW
 #: Suffixes of one seed that a task sorts; seeds with more are lengthened by half of LEFT.
 GROUP = 20_000
 HALF = LEFT // 2
+#: Seeds whose surroundings are laid out at once.
+SLICE = 20_000
 CONTEXT = "seed long, body binary, pad int, least long, firsts array<long>, ties array<long>, places array<int>"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The surroundings of repeated seeds; equal ones of a step are one row.
+    """The surroundings of repeated seeds; equal ones of a slice are one row.
 
     `body` has LEFT + WINDOW bytes. Where the text ends sooner it is filled up, with
     `pad` = bytes missing on the left * 256 + bytes missing on the right.
@@ -61,36 +63,46 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, seeds = text[inside], seeds[inside]
             if not len(seeds):
                 continue
-            at = seeds + bounds[text]
-            left = np.minimum(seeds, LEFT)
-            right = np.minimum(np.diff(bounds)[text] - seeds, WINDOW)
-            grams = mixed(Prefixes(BYTE_SYMBOLS[part]).of(at, at + GRAM))
-            columns = np.arange(SPAN)
-            place = np.clip(at[:, None] - LEFT + columns, 0, len(part) - 1)
-            body = part[place]
-            body[(columns < LEFT - left[:, None]) | (columns >= LEFT + right[:, None])] = 0
-            pad = ((LEFT - left) * 256 + WINDOW - right).astype(np.int32)
-            whole = np.concatenate([body, pad.view(np.uint8).reshape(-1, 4)], axis=1)
-            whole = np.ascontiguousarray(whole).view(f"V{SPAN + 4}")[:, 0]
-            _, chosen, inverse = np.unique(whole, return_index=True, return_inverse=True)
-            order = np.argsort(inverse, kind="stable")
-            sizes = np.bincount(inverse, minlength=len(chosen))
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            own = firsts[first + text]
-            lists_of = pa.array(ends.astype(np.int32))
-            yield plain_batch(
-                {
-                    "seed": grams[chosen].view(np.int64),
-                    "body": pa.FixedSizeBinaryArray.from_buffers(
-                        pa.binary(SPAN), len(chosen), [None, pa.py_buffer(np.ascontiguousarray(body[chosen]))]
-                    ).cast(pa.binary()),
-                    "pad": pad[chosen],
-                    "least": np.minimum.reduceat(own[order], ends[:-1]),
-                    "firsts": pa.ListArray.from_arrays(lists_of, pa.array(own[order])),
-                    "ties": pa.ListArray.from_arrays(lists_of, pa.array(ties[first + text][order])),
-                    "places": pa.ListArray.from_arrays(lists_of, pa.array(seeds[order].astype(np.int32))),
-                }
-            )
+            own_firsts, own_ties = firsts[first + text], ties[first + text]
+            for low in range(0, len(seeds), SLICE):
+                few = slice(low, low + SLICE)
+                yield _surroundings(part, bounds, text[few], seeds[few], own_firsts[few], own_ties[few])
+
+
+def _surroundings(
+    part: np.ndarray,
+    bounds: np.ndarray,
+    text: np.ndarray,
+    seeds: np.ndarray,
+    firsts: np.ndarray,
+    ties: np.ndarray,
+) -> pa.RecordBatch:
+    at = seeds + bounds[text]
+    left = np.minimum(seeds, LEFT)
+    right = np.minimum(np.diff(bounds)[text] - seeds, WINDOW)
+    near = part[at[0] : at[-1] + GRAM]
+    grams = mixed(Prefixes(BYTE_SYMBOLS[near]).of(at - at[0], at - at[0] + GRAM))
+    columns = np.arange(SPAN)
+    body = part[np.clip(at[:, None] - LEFT + columns, 0, len(part) - 1)]
+    body[(columns < LEFT - left[:, None]) | (columns >= LEFT + right[:, None])] = 0
+    pad = ((LEFT - left) * 256 + WINDOW - right).astype(np.int32)
+    whole = np.ascontiguousarray(np.concatenate([body, pad.view(np.uint8).reshape(-1, 4)], axis=1))
+    _, chosen, inverse = np.unique(whole.view(f"V{SPAN + 4}")[:, 0], return_index=True, return_inverse=True)
+    order = np.argsort(inverse, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(inverse, minlength=len(chosen)))])
+    lists = pa.array(ends.astype(np.int32))
+    bodies = pa.py_buffer(np.ascontiguousarray(body[chosen]))
+    return plain_batch(
+        {
+            "seed": grams[chosen].view(np.int64),
+            "body": pa.FixedSizeBinaryArray.from_buffers(pa.binary(SPAN), len(chosen), [None, bodies]).cast(pa.binary()),
+            "pad": pad[chosen],
+            "least": np.minimum.reduceat(firsts[order], ends[:-1]),
+            "firsts": pa.ListArray.from_arrays(lists, pa.array(firsts[order])),
+            "ties": pa.ListArray.from_arrays(lists, pa.array(ties[order])),
+            "places": pa.ListArray.from_arrays(lists, pa.array(seeds[order].astype(np.int32))),
+        }
+    )
 
 
 class HashedSuffixes:
