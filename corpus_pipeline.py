@@ -47,18 +47,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Texts that have none stay as they are; documents with no word left go.
     """
-    cut = substring_tree.remove_repeats(docs, carry=["text", "lang", "source", "n_chars"])
-    changed = F.col("n_removed") > 0
+    cut = substring_tree.remove_repeats(docs, carry=["lang", "source", "n_chars"], as_is=True)
     left = cut.filter(F.col("n_words") > F.col("n_removed"))
-    return left.select(
-        "doc_id",
-        F.when(changed, F.col("kept_text")).otherwise(F.col("text")).alias("text"),
-        "lang",
-        "source",
-        F.when(changed, F.length("kept_text").cast(cut.schema["n_chars"].dataType))
-        .otherwise(F.col("n_chars"))
-        .alias("n_chars"),
-    )
+    length = F.length("kept_text").cast(cut.schema["n_chars"].dataType)
+    n_chars = F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")).alias("n_chars")
+    return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", n_chars)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from logtide.llm.seeds import (
     with_places,
     word_bounds,
 )
-from logtide.llm.shared import column_bytes, partitions_for, plain_batch, steps, stored
+from logtide.llm.shared import column_bytes, discard, partitions_for, plain_batch, steps, stored
 
 WINDOW = 20
 SYMBOL = 4
@@ -106,6 +106,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "tie": columns[5],
                 "place": columns[6],
                 "leads": fewer,
+                "again": batch.column(7),
             }
         )
 
@@ -126,25 +127,28 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         .when(F.col("n2").isNull(), F.xxhash64("s1", "s2"))
         .otherwise(F.xxhash64("s1", "s2", "s3", dealt))
     )
-    grouped = sized.select(group.alias("group"), *suffixes.columns)
+    grouped = sized.select(group.alias("group"), *suffixes.columns, F.col("n3").isNotNull().alias("again"))
     order = ["group", *keys, "first", "tie", "place"]
-    shape = ", ".join([SUFFIX, "leads boolean"])
+    shape = ", ".join([SUFFIX, "leads boolean, again boolean"])
     count = 2 * partitions_for(suffixes)
 
     def subtrees(rows: DataFrame) -> DataFrame:
         dealt_rows = rows.repartition(count, "group").sortWithinPartitions(*order)
-        return dealt_rows.select(*order).mapInArrow(_subtrees, shape)
+        return dealt_rows.select(*order, "again").mapInArrow(_subtrees, shape)
 
-    found = stored(subtrees(grouped), "leaves")
+    # First suffixes are of use only where they lead a part of a passage.
+    found = stored(subtrees(grouped).filter("NOT leads OR again"), "leaves")
     later = found.filter("NOT leads").select("first", "tie", "place")
-    # First suffixes of the parts of one passage meet once more, a row for each part.
-    leads = found.filter("leads").join(large.select(*keys), keys, "left_semi")
-    again = subtrees(leads.select(F.xxhash64(*keys).alias("group"), *suffixes.columns))
-    return later.unionByName(again.filter("NOT leads").select("first", "tie", "place"))
+    # Those of the parts of one passage meet once more, a row for each part.
+    leads = found.filter("leads").select(F.xxhash64(*keys).alias("group"), *suffixes.columns, F.lit(False).alias("again"))
+    return later.unionByName(subtrees(leads).filter("NOT leads").select("first", "tie", "place"))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words left once every word of the windows at `places` is taken out."""
+def _cut(batches: Iterator[pa.RecordBatch], as_is: bool) -> Iterator[pa.RecordBatch]:
+    """Words left once every word of the windows at `places` is taken out.
+
+    With `as_is`, texts that lose nothing keep their white space.
+    """
     for batch in batches:
         lists = batch.column(2)
         list_at, list_all = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
@@ -163,9 +167,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i in range(last - first):
                 own = np.arange(bounds[i], bounds[i + 1])
                 stay = own[~gone[own]]
+                removed.append(len(own) - len(stay))
+                if as_is and not removed[-1]:
+                    kept.append(raw[offsets[first + i] - offsets[first] : offsets[first + i + 1] - offsets[first]])
+                    continue
                 spans = zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)
                 kept.append(b" ".join([raw[a:b] for a, b in spans]))
-                removed.append(len(own) - len(stay))
             yield plain_batch(
                 {
                     "first": batch.column(0).slice(first, last - first),
@@ -178,7 +185,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, kept: Callable[[Column], Column] = lambda text: text, carry: Sequence[str] = ()
+    docs: DataFrame,
+    kept: Callable[[Column], Column] = lambda text: text,
+    carry: Sequence[str] = (),
+    as_is: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed and kept_text.
 
@@ -192,9 +202,11 @@ def remove_repeats(
     copies, texts = distinct_texts(docs)
     seeds = repeated_seeds(texts, "words", GRAM, WINDOW)
     suffixes = stored(with_places(texts, seeds).mapInArrow(_suffixes, SUFFIX), "suffixes")
-    gone = repeats(suffixes).groupBy("first", "tie").agg(F.collect_list("place").alias("places"))
+    found = repeats(suffixes)
+    discard(seeds, suffixes)
+    gone = found.groupBy("first", "tie").agg(F.collect_list("place").alias("places"))
     marked = texts.join(gone, ["first", "tie"], "left").select(
         "first", "tie", F.coalesce("places", F.array().cast("array<int>")).alias("places"), "text"
     )
-    cut = marked.mapInArrow(_cut, "first long, tie long, n_words long, n_removed long, kept_text string")
+    cut = marked.mapInArrow(lambda x: _cut(x, as_is), "first long, tie long, n_words long, n_removed long, kept_text string")
     return results_for(docs, copies, cut, "n_words", WINDOW, kept, carry)
