@@ -1,6 +1,7 @@
 """Licences, quality rules and language-model scores."""
 
 import math
+import textwrap
 import zlib
 from collections import Counter
 
@@ -86,6 +87,31 @@ def test_license_statements_and_inheritance(spark):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def test_licenses_in_blocks_windows_and_tags(spark):
+    text = {}
+    for name, block in licenses.BLOCKS:
+        text.setdefault(name, block)
+    wrap = {k: textwrap.fill(v, 60, initial_indent="# ", subsequent_indent="# ") for k, v in text.items()}
+    code = "\nimport os\nvalue = compute(os.environ)\n" * 40
+    long = "some words that say nothing of the matter at hand " * 4
+    expected = {f"{k}/x.py": (v + code, k) for k, v in wrap.items()}
+    expected |= {
+        "tag/a.c": ("// SPDX-License-Identifier: MIT\n" + code, "MIT"),
+        "tag/b.c": ("/* SPDX-License-Identifier: GPL-2.0-or-later */\n" + code, "GPL-2.0"),
+        "tag/c.c": ("// SPDX-License-Identifier: Apache-2.0\n" + code, "Apache-2.0"),
+        "tag/d.c": ("// SPDX-License-Identifier: Zlib\n" + code, None),
+        "line/mit": (long + licenses.TEMPLATES["MIT"] + " " + long, "MIT"),
+        "line/apache": (long + licenses.TEMPLATES["Apache-2.0"] + " " + long, "Apache-2.0"),
+        "wrapped/a.py": ("# Released under the MIT\n# License\n" + code, "MIT"),
+        "none/a.py": (code + long, None),
+        "whole/LICENSE": ("Copyright 2020 A. Person\n\n" + textwrap.fill(text["BSD-3-Clause"], 70), "BSD-3-Clause"),
+    }
+    table = spark.createDataFrame([(k, v) for k, (v, _) in expected.items()] + [("whole/a/b.py", code)], "path string, text string")
+    found = {r.path: r for r in licenses.scan(table).collect()}
+    assert {k: found[k].own_license for k in expected} == {k: v for k, (_, v) in expected.items()}
+    assert (found["whole/a/b.py"].license, found["whole/a/b.py"].license_dir) == ("BSD-3-Clause", "whole")
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     rows = known(texts()) + [(2000 + i, texts(i)[13][1]) for i in range(40)] + [(3000, "end"), (3001, "end")]
