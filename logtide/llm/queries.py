@@ -6,10 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import bpe, exact, licenses, packing, pitman_yor, quality, simhash, substring_tree, suffix_array, token_orc
+from logtide.llm import (
+    alignment,
+    bpe,
+    exact,
+    lexical,
+    licenses,
+    packing,
+    pitman_yor,
+    quality,
+    simhash,
+    substring_tree,
+    suffix_array,
+    token_orc,
+)
 from logtide.llm.shared import documents, shared_path
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def vocabulary_path() -> str:
@@ -85,6 +99,17 @@ def op10_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def op11_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.search(documents(spark, sf_dir), items)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every document, and how common its linked ids are."""
+    return alignment.align(documents(spark, sf_dir), vocabulary_path(), public_tokenizers.path(PIECES))
+
+
 def _op1_sql() -> str:
     """Scores and inheritance of `licenses` in SQL, from the same parameters."""
     quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
@@ -246,6 +271,35 @@ SELECT base.doc_id, strlen(h) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_remov
 FROM base LEFT JOIN summed ON base.doc_id = summed.doc_id
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER = "".join(map(chr, range(65, 91)))
+OP11_SQL = f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}') AS ts
+  FROM documents),
+held AS (SELECT r, unnest(ts) AS term FROM docs),
+counted AS (SELECT r, term, count(*) AS tf FROM held GROUP BY r, term),
+sums AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM docs),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, sums GROUP BY term, n_docs),
+lengths AS (SELECT r, doc_id, 100 - 75 + (75 * len(ts) * n_docs) // n_terms AS m FROM docs, sums),
+asked AS (
+  SELECT q, item_id, term, count(*) AS times FROM (
+    SELECT item_id, row_number() OVER () AS q,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{TERM}')) AS term
+    FROM benchmark) GROUP BY q, item_id, term),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (r)
+  GROUP BY q, item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {lexical.MOST}
+"""
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_bpe_codec": op2_bpe_codec,
@@ -257,6 +311,15 @@ QUERIES = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_suffix_array": op9_suffix_array,
     "op10_simhash_bktree": op10_simhash_bktree,
+    "op11_block_search": op11_block_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLES = {"op1_license_scan": _op1_sql(), "op3_quality_rules": _op3_sql(), "op6_exact_dedup": OP6_SQL, "op7_substring_tree": OP7_SQL, "op9_suffix_array": OP9_SQL}
+ORACLES = {
+    "op1_license_scan": _op1_sql(),
+    "op3_quality_rules": _op3_sql(),
+    "op6_exact_dedup": OP6_SQL,
+    "op7_substring_tree": OP7_SQL,
+    "op9_suffix_array": OP9_SQL,
+    "op11_block_search": OP11_SQL,
+}
