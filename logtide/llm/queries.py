@@ -13,6 +13,7 @@ from logtide.llm import (
     lexical,
     licenses,
     packing,
+    personal,
     pitman_yor,
     quality,
     simhash,
@@ -105,6 +106,11 @@ def op11_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), items)
 
 
+def op12_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.find(documents(spark, sf_dir))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers cut every document, and how common its linked ids are."""
     return alignment.align(documents(spark, sf_dir), vocabulary_path(), public_tokenizers.path(PIECES))
@@ -312,6 +318,7 @@ QUERIES = {
     "op9_suffix_array": op9_suffix_array,
     "op10_simhash_bktree": op10_simhash_bktree,
     "op11_block_search": op11_block_search,
+    "op12_weak_supervision": op12_weak_supervision,
     "op13_token_alignment": op13_token_alignment,
 }
 
