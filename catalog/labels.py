@@ -12,7 +12,7 @@ from logtide.functions.quantiles import exact_quantile
 from logtide.operators.density import label_noise
 from logtide.operators.ensemble import ensemble_vote
 from logtide.operators.parse import harmonize, parse_lines
-from logtide.operators.windows import window_features
+from logtide.operators.windows import EVENT_COLUMNS, window_features
 from logtide.session import stored
 
 
@@ -37,7 +37,8 @@ def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str, columns=None, known: DataFrame | None = None) -> DataFrame:
-    known = stored_events(spark, sf_dir) if known is None else known
+    if known is None:
+        known = stored(events(spark, sf_dir).select(*EVENT_COLUMNS), "events")
     return rounded(window_features(known, columns=columns))
 
 

@@ -1,7 +1,7 @@
 """Tumbling-window features over events.
 
-In batch, sums, distinct counts and entropy are aggregated each for itself and joined by
-window, so a feature costs what it needs. Distinct values and tokens are counted per
+In batch, sums over events and counts of their values are aggregated each for itself and
+joined by window, so a feature costs what it needs. Values and tokens are counted per
 (window, value) first, combined on the map side, so a window or a token holding most of
 the rows spreads over all tasks. No window is ever collected into one list. Streams, which
 cannot join aggregates, explode events into facets and count all of them in one pass.
@@ -19,6 +19,8 @@ from logtide.functions import fields as X
 from logtide.functions import patterns as P
 
 MESSAGE, HOST, PROCESS, TOKEN = 0, 1, 2, 3
+#: What the features of events are made of.
+EVENT_COLUMNS = ("timestamp", "host", "process", "message")
 
 
 def first_timestamp(events: DataFrame) -> Column:
@@ -129,8 +131,7 @@ def window_features(
     """One row per non-empty window, with bounds and the eight features, or `columns` of them.
 
     Counts, lengths and phrases are sums over events, one partial row per window and
-    task. Only distinct counts and entropy explode events, each if it is asked for;
-    messages are told apart by their 128-bit MD5, so that no message text is shuffled.
+    task. Distinct counts and entropy explode events, once for all that are asked for.
     """
     wanted = list(columns or P.FEATURE_COLUMNS)
     placed = with_window_start(events, window_seconds, origin)
@@ -149,11 +150,9 @@ def window_features(
     )
     found = direct.filter("event_count > 0")
     distinct = [c for c in DISTINCT if c in wanted]
-    if distinct:
-        found = found.join(_distinct_counts(placed, distinct), "window_start", "left")
-    if "entropy_tokens" in wanted:
-        entropy = token_entropy(placed, ["window_start"]).drop("token_count")
-        found = found.join(entropy, "window_start", "left")
+    if distinct or "entropy_tokens" in wanted:
+        counts = value_counts(placed, ["window_start"], distinct, "entropy_tokens" in wanted)
+        found = found.join(counts, "window_start", "left")
     return found.withColumn("window_end", window_end(window_seconds)).select(*wanted)
 
 
@@ -161,18 +160,48 @@ def window_features(
 DISTINCT = {"unique_messages": "message", "distinct_hosts": "host", "distinct_processes": "process"}
 
 
-def _distinct_counts(placed: DataFrame, names: Sequence[str]) -> DataFrame:
-    """window_start and the numbers of different values; windows without any have zeros."""
+def counted_values(
+    events: DataFrame, keys: Sequence[str], distinct: Sequence[str] = tuple(DISTINCT), tokens: bool = True
+) -> DataFrame:
+    """How often each value occurs per `keys`: `facet`, `value`, `n`; one pass over the events.
+
+    Messages are told apart by their 128-bit MD5, so no message text is shuffled. Every
+    key is kept, by NULL values if it has no others.
+    """
+    facets_of = {"unique_messages": MESSAGE, "distinct_hosts": HOST, "distinct_processes": PROCESS}
     values = []
-    for i, name in enumerate(names):
+    for name in distinct:
         value = F.col(DISTINCT[name])
-        value = F.md5(value) if name == "unique_messages" else value
-        values.append(F.struct(F.lit(i).alias("facet"), value.alias("value")))
-    pairs = placed.select("window_start", F.inline(F.array(*values))).distinct()
+        value = F.base64(F.unhex(F.md5(value))) if name == "unique_messages" else value
+        values.append(F.struct(F.lit(facets_of[name]).cast("tinyint").alias("facet"), value.alias("value")))
+    parts = [F.array(*values)] if values else []
+    if tokens:
+        kind = F.lit(TOKEN).cast("tinyint").alias("facet")
+        words = F.transform(X.tokens(F.col("message")), lambda t: F.struct(kind, t.alias("value")))
+        # A NULL keeps the key of events without a token.
+        none = F.array(F.struct(kind, F.lit(None).cast("string").alias("value")))
+        parts += [F.coalesce(words, none)] if values else [F.coalesce(words, none), none]
+    exploded = events.select(*keys, F.inline(F.concat(*parts)))
+    return exploded.groupBy(*keys, "facet", "value").agg(F.count("value").alias("n"))
+
+
+def summed_values(counts: DataFrame, keys: Sequence[str], distinct: Sequence[str], tokens: bool) -> DataFrame:
+    """Distinct counts and token entropy per `keys` from `counted_values`."""
     present = F.col("value").isNotNull()
-    return pairs.groupBy("window_start").agg(
-        *[F.count_if(present & (F.col("facet") == i)).alias(name) for i, name in enumerate(names)]
-    )
+    found = [
+        F.count_if(present & (F.col("facet") == i)).alias(name)
+        for i, name in enumerate(DISTINCT)
+        if name in distinct
+    ]
+    if tokens:
+        n = F.when((F.col("facet") == TOKEN) & present, F.col("n"))
+        found.append(entropy_of(F.sum(n), F.sum(n * F.log2(n))).alias("entropy_tokens"))
+    return counts.groupBy(*keys).agg(*found)
+
+
+def value_counts(events: DataFrame, keys: Sequence[str], distinct: Sequence[str], tokens: bool) -> DataFrame:
+    """The asked distinct counts and entropy per `keys`."""
+    return summed_values(counted_values(events, keys, distinct, tokens), keys, distinct, tokens)
 
 
 def token_entropy(table: DataFrame, keys: list[str], text: str = "message") -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from logtide.operators.parse import harmonize, parse_lines
-from logtide.operators.windows import window_features
+from logtide.operators.windows import EVENT_COLUMNS, window_features
 from logtide.session import stored
 from logtide.sources.lines import read_lines
 
@@ -38,6 +38,7 @@ class LogFeaturePlan:
         self._paths: list[str] = []
         self._lines: list[DataFrame] = []
         self._events: DataFrame | None = None
+        self._feature_events: DataFrame | None = None
 
     def from_file(self, path: str) -> LogFeaturePlan:
         self._paths.append(path)
@@ -74,12 +75,14 @@ class LogFeaturePlan:
         return self
 
     def run(self) -> DataFrame:
-        """Features. Lines are parsed once: without a known origin the events are stored
-        first, as the earliest time has to be found before the first window.
+        """Features. Lines are parsed once: without a known origin the columns that features
+        need are stored first, as the earliest time has to be found before the first window.
         """
         events = self._events if self._events is not None else self.parse()
         if self._events is None and self.origin is None:
-            events = self._events = stored(events, "events")
+            if self._feature_events is None:
+                self._feature_events = stored(events.select(*EVENT_COLUMNS), "events")
+            events = self._feature_events
         return window_features(events, self.window_seconds, self.origin)
 
 
