@@ -171,6 +171,24 @@ def _(spark, sf_dir):
     return read.withColumn("event_id", F.col("event_id").cast("bigint"))
 
 
+@query(
+    "s5_csv_one_file",
+    f"""WITH {LINES_SQL} SELECT event_id, '"' || chr(10) || line || ',' AS "sa,id",
+        CASE WHEN event_id % 2 = 0 THEN repeat(chr(10) || '""' || file_name, 3) END AS "break" FROM (
+          SELECT *, source_file AS file_name FROM lines)""",
+)
+def _(spark, sf_dir):
+    """One file whose records span lines, and splits where the file is larger than one."""
+    path = scratch_path(spark, "csv")
+    said = F.concat(F.lit('"\n'), "line", F.lit(",")).alias("sa,id")
+    breaks = F.repeat(F.concat(F.lit('\n""'), "source_file"), 3)
+    rows = log_lines(spark, sf_dir).select(
+        "event_id", said, F.when(F.col("event_id") % 2 == 0, breaks).alias("break")
+    )
+    files.write_csv(rows.coalesce(1), path)
+    return read_csv(spark, path).withColumn("event_id", F.col("event_id").cast("bigint"))
+
+
 @query(
     "s6_select_with_parameters",
     f"""WITH {LINES_SQL} SELECT event_id, line, '100% %s' AS mark FROM lines

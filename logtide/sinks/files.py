@@ -23,9 +23,13 @@ def _nested_as_json(table: DataFrame) -> DataFrame:
 
 
 def write_csv(table: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header, nested columns as JSON text. Quotes double, as readers expect."""
+    """CSV with a header, nested columns as JSON text. Quotes double, as readers expect.
+
+    Texts keep their outer white space, which Spark would trim by default.
+    """
     writer = _nested_as_json(table).write.mode(mode).option("timestampFormat", TIME_FORMAT)
-    writer.option("escape", '"').csv(path, header=True)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer.options(**spaces).option("escape", '"').csv(path, header=True)
 
 
 def write_json_lines(table: DataFrame, path: str, mode: str = "overwrite") -> None:

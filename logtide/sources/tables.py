@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtide.functions import patterns as P
+from logtide.sources.records import as_columns, csv_records
 
 FEATURE_SCHEMA = (
     "window_start timestamp, window_end timestamp, event_count bigint, unique_messages bigint, "
@@ -22,14 +23,16 @@ LABEL_SCHEMA = ", ".join(f"{name} int" for name in P.LABEL_COLUMNS)
 def read_texts(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A CSV with a header as texts, missing ones as NULL; quoted line breaks are kept.
 
-    `columns` selects by name and keeps the file's order. As a record may span lines,
-    a file is not split: write large tables as several files.
+    `columns` selects by name and keeps the file's order. Large files are read by many
+    tasks, although records may span lines and splits.
     """
-    table = spark.read.csv(path, header=True, escape='"', multiLine=True)
-    unknown = [name for name in columns or () if name not in table.columns]
+    # Only the first record of one file is read for the names.
+    names = spark.read.csv(path, header=True, escape='"', multiLine=True).columns
+    unknown = [name for name in columns or () if name not in names]
     if unknown:
         raise ValueError(f"no such columns in {path}: {', '.join(unknown)}")
-    wanted = [name for name in table.columns if not columns or name in set(columns)]
+    wanted = [name for name in names if not columns or name in set(columns)]
+    table = as_columns(csv_records(spark, path), names)
     return table.select(*[missing_as_null(F.col(f"`{name}`")).alias(name) for name in wanted])
 
 

@@ -1,9 +1,18 @@
+import csv
+import io
+import random
+from contextlib import contextmanager
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from logtide.operators.numbering import number_lines
 from logtide.plans.log_features import LogFeaturePlan, features_from_files
 from logtide.sinks.files import write_csv
+from logtide.sources import records
 from logtide.sources.lines import lines_per_file, read_lines, replay, stream_lines
+from logtide.sources.records import as_columns, csv_records
 from logtide.sources.tables import infer_columns, read_csv, read_feature_csv, run_query
 
 
@@ -114,6 +123,60 @@ def test_csv_keeps_quoted_text(spark, tmp_path):
     assert read.dtypes == [("id", "int"), ("said", "string")]
 
 
+@contextmanager
+def small_splits(spark, size):
+    """Cut files into splits of a few bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "10"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize(("size", "sent"), [(700, 500_000), (90, 0)])
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch, size, sent):
+    monkeypatch.setattr(records, "SENT_SPLITS", sent)
+    rng, rows = random.Random(size), []
+    texts = ["a", "", '"', "a,b", "x\ny", '"q"\n\n"', "é ", " ", '","', "one\ntwo\n" * 40, ",", "'"]
+    for name, end in (("a", "\n"), ("b", "\r\n"), ("c", "\n")):
+        own = [(str(i), rng.choice(texts), rng.choice(texts)) for i in range(120 if name != "c" else 0)]
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            csv.writer(file, lineterminator=end).writerows([("id", "te,xt", 'o"x'), *own])
+        rows += own
+    with small_splits(spark, size):
+        found = as_columns(csv_records(spark, str(tmp_path)), ["id", "te,xt", 'o"x'])
+        assert found.rdd.getNumPartitions() > 3 or not sent
+        assert sorted(tuple(x or "" for x in r) for r in found.collect()) == sorted(rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", '"', "\n", ",", '""', "b\n\n", " "]), max_size=5), min_size=1, max_size=5))
+def test_state_behind_lines(fields):
+    """A line ends inside a quoted text exactly where the record goes on."""
+    values = ["".join(f) for f in fields]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerow(values)
+    lines = out.getvalue()[:-1].split("\n")
+    state, states = False, []
+    for line in lines:
+        state = records.ends_inside(line, state)
+        states.append(state)
+    assert states == [True] * (len(lines) - 1) + [False]
+
+
+def test_quotes_inside_plain_fields_open_nothing():
+    assert not records.ends_inside('5" disk,6" disk,7"', False)
+    assert records.ends_inside('5" disk,"open', False)
+    assert not records.ends_inside('still open",x"', True)
+
+
+def test_csv_keeps_outer_white_space(spark, tmp_path):
+    rows = [(1, " a "), (2, "\nb\n"), (3, "\tc")]
+    write_csv(spark.createDataFrame(rows, "id int, said string"), str(tmp_path / "t"))
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "t")).collect())) == rows
+
+
 FEATURE_HEAD = (
     "window_start,window_end,event_count,unique_messages,distinct_hosts,distinct_processes,"
     "avg_msg_length,failed_auth_count,invalid_user_count,entropy_tokens\n"
