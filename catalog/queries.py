@@ -29,7 +29,7 @@ from catalog.labels import (
 from logtide.functions import fields as X
 from logtide.functions import patterns as P
 from logtide.functions.quantiles import exact_quantile
-from logtide.operators import flows, monitor, results, windows
+from logtide.operators import density_parts, flows, monitor, panes, results, windows
 from logtide.operators.autoencoder import epoch_sums, train_autoencoder
 from logtide.operators.density import core_points, label_noise
 from logtide.operators.ensemble import attach_labels, ensemble_vote
@@ -39,7 +39,7 @@ from logtide.operators.parse import harmonize, parse_lines, parse_statistics
 from logtide.operators.registry import DensityNoise, ModelRegistry, load_registry
 from logtide.plans.anomaly import AnomalyPlan, shape_results
 from logtide.plans.log_features import features_from_files
-from logtide.session import scratch_path
+from logtide.session import scratch_path, stored
 from logtide.sinks import files, tables
 from logtide.sources.lines import lines_per_file, read_lines, stream_lines
 from logtide.sources.tables import FEATURE_SCHEMA, read_csv, read_feature_csv, run_query
@@ -540,6 +540,31 @@ def _(spark, sf_dir):
     return label_noise(stored_features(spark, sf_dir)).select("window_start", "dbscan_label")
 
 
+_SCALED = ", ".join(
+    f"round(({n} - avg({n}) OVER ()) / CASE WHEN stddev_pop({n}) OVER () > 0 "
+    f"THEN stddev_pop({n}) OVER () ELSE 1 END, 6) + 0.0 AS {n}"
+    for n in P.NUMERIC_FEATURES
+)
+_CLOSE = f"sqrt({' + '.join(f'pow(a.{n} - b.{n}, 2)' for n in P.NUMERIC_FEATURES)}) <= 0.5"
+_BESIDE = " AND ".join(f"abs(a.{n} - b.{n}) <= 0.5" for n in ("avg_msg_length", "entropy_tokens"))
+
+
+@query(
+    "m3_density_standardized",
+    f"""{FEATURES_CTE}, scaled AS (SELECT window_start, {_SCALED} FROM features),
+        cores AS (SELECT a.* FROM scaled a JOIN scaled b ON {_BESIDE} AND {_CLOSE}
+                  GROUP BY ALL HAVING count(*) >= 5),
+        reached AS (SELECT DISTINCT a.window_start FROM scaled a JOIN cores b ON {_BESIDE} AND {_CLOSE})
+        SELECT window_start, CASE WHEN r.window_start IS NULL THEN 1 ELSE 0 END AS dbscan_label
+        FROM scaled LEFT JOIN reached r USING (window_start)""",
+)
+def _(spark, sf_dir):
+    """All eight features count as real numbers here, so no grid of cells can be listed."""
+    scaled = monitor.standardize(stored_features(spark, sf_dir))
+    scaled = scaled.withColumns({n: F.round(n, 6) + F.lit(0.0) for n in P.NUMERIC_FEATURES})
+    return density_parts.label_noise(stored(scaled, "scaled")).select("window_start", "dbscan_label")
+
+
 @query("m4_autoencoder_gradient", f"{FEATURES_CTE}, {gradient_sql('features')}")
 def _(spark, sf_dir):
     """Gradient and loss of one epoch from fixed weights."""
@@ -1031,6 +1056,58 @@ def _(spark, sf_dir):
     return monitor.sliding_counts(events(spark, sf_dir), 600, 300)
 
 
+_SLIDING = f"""{PARSED_CTE}, placed AS (
+      SELECT *, epoch_us("timestamp") // 120000000 * 120 - unnest([0, 120, 240, 360, 480]) AS k,
+             epoch_us("timestamp") AS moment FROM parsed WHERE "timestamp" IS NOT NULL),
+    windowed AS (SELECT * FROM placed WHERE moment < (k + 540) * 1000000),
+    tokens AS (SELECT k, token, count(*) AS c FROM (
+      SELECT k, unnest(regexp_extract_all(lower(message), '[\\p{{L}}\\p{{N}}_]+')) AS token FROM windowed)
+      GROUP BY k, token),
+    entropies AS (SELECT k, greatest(log2(sum(c)) - sum(c * log2(c)) / sum(c), 0) AS h FROM tokens GROUP BY k)
+    SELECT make_timestamp(w.k * 1000000) AS window_start, make_timestamp((w.k + 540) * 1000000) AS window_end,
+      count(*) AS event_count, count(DISTINCT message) AS unique_messages,
+      count(DISTINCT source_file) AS distinct_hosts, count(DISTINCT service) AS distinct_processes,
+      round(avg(length(message)), 6) AS avg_msg_length,
+      count(*) FILTER (lower(message) LIKE '%failed password%') AS failed_auth_count,
+      count(*) FILTER (lower(message) LIKE '%invalid user%') AS invalid_user_count,
+      round(coalesce(any_value(h), 0), 6) AS entropy_tokens
+    FROM windowed w LEFT JOIN entropies e ON w.k = e.k GROUP BY w.k"""
+
+
+@query("x2_sliding_features", _SLIDING)
+def _(spark, sf_dir):
+    """Windows of nine minutes every two: panes of one minute."""
+    known = stored(events(spark, sf_dir).select(*windows.EVENT_COLUMNS), "events")
+    return rounded(panes.sliding_features(known, 540, 120))
+
+
+_EXACT = """SELECT make_timestamp(epoch_us("timestamp") // {width} * {width}) AS window_start,
+      count(DISTINCT message) AS unique_messages, count(DISTINCT source_file) AS distinct_hosts,
+      count(DISTINCT service) AS distinct_processes, true AS within, true AS merged_as_direct
+    FROM parsed WHERE "timestamp" IS NOT NULL GROUP BY 1"""
+
+
+@query("f4_merged_sketches", f"{PARSED_CTE} {_EXACT.format(width='86400000000')}")
+def _(spark, sf_dir):
+    """Days from sketches of minutes by way of hours, beside exact counts and sketches of days."""
+    known = stored(events(spark, sf_dir).select(*windows.EVENT_COLUMNS), "events")
+    day, bits = 86_400, panes.SKETCH_BITS
+    minutes = stored(panes.distinct_sketches(known, 60), "sketches")
+    merged = panes.estimated_counts(panes.merge_sketches(panes.merge_sketches(minutes, 3600), day))
+    direct = panes.estimated_counts(panes.distinct_sketches(known, day))
+    exact = panes.sliding_features(known, day, day, ["window_start", *windows.DISTINCT])
+    near, same = F.lit(True), F.lit(True)
+    for name in windows.DISTINCT:
+        off = F.abs(F.col(f"m.{name}") - F.col(f"e.{name}"))
+        near = near & (off <= F.ceil(panes.relative_error(bits) * F.col(f"e.{name}")))
+        # Merged registers are those of the whole; estimates may round in another order.
+        far = F.abs(F.col(f"m.{name}") - F.col(f"d.{name}"))
+        same = same & (far <= F.ceil(panes.relative_error(bits) * F.col(f"e.{name}")))
+    joined = exact.alias("e").join(merged.alias("m"), "window_start").join(direct.alias("d"), "window_start")
+    counts = [F.col(f"e.{name}") for name in windows.DISTINCT]
+    return joined.select("window_start", *counts, near.alias("within"), same.alias("merged_as_direct"))
+
+
 @query(
     "x3_sessions",
     f"""{PARSED_CTE}, marked AS (
