@@ -43,7 +43,7 @@ from logtide.session import scratch_path, stored
 from logtide.sinks import files, tables
 from logtide.sources.lines import lines_per_file, read_lines, stream_lines
 from logtide.sources.tables import FEATURE_SCHEMA, read_csv, read_feature_csv, run_query
-from logtide.streaming.features import parse_stream, stream_features
+from logtide.streaming.features import parse_stream, stream_correlation, stream_features, stream_sessions
 from logtide.streaming.scoring import write_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -886,6 +886,19 @@ def _(spark, sf_dir):
     return rows.agg(F.count(F.lit(1)).alias("rows_kept")).withColumn("written", F.lit(written))
 
 
+_SESSIONS = f"""{PARSED_CTE}, marked AS (
+          SELECT service, "timestamp" AS ts, CASE WHEN epoch_us("timestamp") - lag(epoch_us("timestamp"))
+            OVER (PARTITION BY service ORDER BY "timestamp") <= 1800000000 THEN 0 ELSE 1 END AS fresh FROM parsed),
+        numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY service ORDER BY ts
+            ROWS UNBOUNDED PRECEDING) AS nr FROM marked)
+        SELECT service, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+          count(*) AS event_count FROM numbered GROUP BY service, nr"""
+
+_ANOMALOUS_SERVICES = f"""{LABELLED_CTE} SELECT w.service, count(*) AS event_count,
+          count(DISTINCT k) AS anomalous_windows
+        FROM windowed w JOIN labelled l ON make_timestamp(t0 + k * 60000000) = l.window_start
+        WHERE ensemble_anomaly = 1 GROUP BY w.service"""
+
 # --- streaming --------------------------------------------------------------------------
 
 
@@ -930,6 +943,15 @@ def _(spark, sf_dir):
     return rounded(spark.read.parquet(sink))
 
 
+@query("x3_streamed_sessions", _SESSIONS)
+def _(spark, sf_dir):
+    """Sessions as they close; the closing line of the year 2031 stays open."""
+    sink = scratch_path(spark, "sessions")
+    stream = parse_stream(stream_lines(spark, _line_folder(spark, sf_dir)), YEAR)
+    _run_stream(stream_sessions(stream, ["service"], 1800), sink)
+    return spark.read.parquet(sink)
+
+
 @query(
     "t3_stream_labels",
     f"""{_STREAM_FEATURES}, {LABELLED_SQL}
@@ -970,6 +992,21 @@ def _(spark, sf_dir):
     return _labelled_stream(stream_features(stream, origin=STREAM_ORIGIN), registry)
 
 
+@query("x9_streamed_services", _ANOMALOUS_SERVICES)
+def _(spark, sf_dir):
+    """A stream of events and one of flagged windows; both end with one much later row."""
+    marked, sink = scratch_path(spark, "flagged"), scratch_path(spark, "correlated")
+    known = labelled(spark, sf_dir)
+    first = known.agg(F.min("window_start")).first()[0]
+    flagged = results.with_label(known).select("window_start")
+    flagged.unionByName(flagged.limit(1).select(F.expr("timestamp'2031-01-01 00:00:00'").alias("window_start"))).write.parquet(marked)
+    anomalies = spark.readStream.schema(flagged.schema).parquet(marked)
+    stream = parse_stream(stream_lines(spark, _line_folder(spark, sf_dir)), YEAR)
+    _run_stream(stream_correlation(stream, anomalies, ["service"], 60, first), sink)
+    sums = F.sum("event_count").alias("event_count"), F.count(F.lit(1)).alias("anomalous_windows")
+    return spark.read.parquet(sink).filter("window_start < '2030-01-01'").groupBy("service").agg(*sums)
+
+
 # --- network flows ------------------------------------------------------------------------
 
 
@@ -1108,16 +1145,7 @@ def _(spark, sf_dir):
     return joined.select("window_start", *counts, near.alias("within"), same.alias("merged_as_direct"))
 
 
-@query(
-    "x3_sessions",
-    f"""{PARSED_CTE}, marked AS (
-          SELECT service, "timestamp" AS ts, CASE WHEN epoch_us("timestamp") - lag(epoch_us("timestamp"))
-            OVER (PARTITION BY service ORDER BY "timestamp") <= 1800000000 THEN 0 ELSE 1 END AS fresh FROM parsed),
-        numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY service ORDER BY ts
-            ROWS UNBOUNDED PRECEDING) AS nr FROM marked)
-        SELECT service, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
-          count(*) AS event_count FROM numbered GROUP BY service, nr""",
-)
+@query("x3_sessions", _SESSIONS)
 def _(spark, sf_dir):
     return monitor.sessions(events(spark, sf_dir), ["service"], 1800)
 
@@ -1223,13 +1251,7 @@ def _(spark, sf_dir):
     )
 
 
-@query(
-    "x9_anomalous_services",
-    f"""{LABELLED_CTE} SELECT w.service, count(*) AS event_count,
-          count(DISTINCT k) AS anomalous_windows
-        FROM windowed w JOIN labelled l ON make_timestamp(t0 + k * 60000000) = l.window_start
-        WHERE ensemble_anomaly = 1 GROUP BY w.service""",
-)
+@query("x9_anomalous_services", _ANOMALOUS_SERVICES)
 def _(spark, sf_dir):
     known = stored_events(spark, sf_dir)
     flagged = results.with_label(labelled(spark, sf_dir, known))

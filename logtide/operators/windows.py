@@ -3,8 +3,7 @@
 In batch, sums over events and counts of their values are aggregated each for itself and
 joined by window, so a feature costs what it needs. Values and tokens are counted per
 (window, value) first, combined on the map side, so a window or a token holding most of
-the rows spreads over all tasks. No window is ever collected into one list. Streams, which
-cannot join aggregates, explode events into facets and count all of them in one pass.
+the rows spreads over all tasks. No window is ever collected into one list.
 """
 
 from __future__ import annotations
@@ -72,56 +71,12 @@ def assign_windows(
     )
 
 
-def facets(events: DataFrame, keys: list, present: Column) -> DataFrame:
-    """One row per event and facet: `keys`, `facet` (0..3), `value`.
-
-    Events that are not `present` have nothing to explode. This drops them
-    without a filter, which would be pushed below the parser and run it twice.
-    """
-    values = F.concat(
-        F.array("message", "host", "process"),
-        F.coalesce(X.tokens(F.col("message")), F.array().cast("array<string>")),
-    )
-    exploded = events.select(*keys, F.posexplode(F.when(present, values)).alias("_pos", "value"))
-    facet = F.least(F.col("_pos"), F.lit(TOKEN)).cast("tinyint")
-    return exploded.withColumn("facet", facet).drop("_pos")
-
-
 def entropy_of(total: Column, weighted_log: Column) -> Column:
     """Shannon entropy in bits from sum(c) and sum(c * log2(c)); 0 without tokens."""
     bits = F.log2(total) - weighted_log / total
     return F.greatest(F.coalesce(bits, F.lit(0.0)), F.lit(0.0))
 
 
-def features_from_counts(counts: DataFrame, keys: list) -> DataFrame:
-    """Features per `keys` from rows (`keys`, `facet`, `value`, `n`)."""
-
-    def total(facet: int, amount: Column, condition: Column | None = None) -> Column:
-        wanted = F.col("facet") == facet
-        if condition is not None:
-            wanted = wanted & condition
-        return F.coalesce(F.sum(F.when(wanted, amount)), F.lit(0))
-
-    n, value = F.col("n"), F.col("value")
-    one = F.lit(1).cast("bigint")
-    present = value.isNotNull()
-    length = F.length(value) * n
-    tokens = F.sum(F.when(F.col("facet") == TOKEN, n))
-    weighted = F.sum(F.when(F.col("facet") == TOKEN, n * F.log2(n)))
-    characters = F.sum(F.when(F.col("facet") == MESSAGE, length))
-    messages = F.sum(F.when((F.col("facet") == MESSAGE) & present, n))
-    return counts.groupBy(*keys).agg(
-        total(MESSAGE, n).alias("event_count"),
-        total(MESSAGE, one, present).alias("unique_messages"),
-        total(HOST, one, present).alias("distinct_hosts"),
-        total(PROCESS, one, present).alias("distinct_processes"),
-        (characters / messages).alias("avg_msg_length"),
-        total(MESSAGE, n, X.has_phrase(value, P.FAILED_AUTH_PHRASE)).alias("failed_auth_count"),
-        total(MESSAGE, n, X.has_phrase(value, P.INVALID_USER_PHRASE)).alias("invalid_user_count"),
-        entropy_of(tokens, weighted).alias("entropy_tokens"),
-    )
-
-
 def window_features(
     events: DataFrame,
     window_seconds: float = 60,

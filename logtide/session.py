@@ -15,6 +15,7 @@ def build_session(app_name: str = "logtide", master: str | None = None, **conf)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)

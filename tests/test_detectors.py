@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from logtide.operators import density_parts
 from logtide.functions.patterns import NUMERIC_FEATURES
 from logtide.functions.quantiles import exact_quantile
 from logtide.operators.autoencoder import Autoencoder, layer_sizes, train_autoencoder
@@ -156,3 +157,36 @@ def test_plan_registry_and_results(spark, features, tmp_path):
     assert len(shape_results(labelled).columns) == 15
     assert store_results(labelled, "stored_anomalies") == 3000
     assert spark.table("stored_anomalies").count() == 3000
+
+
+@pytest.mark.parametrize(("most", "chunk"), [(60, 16_000), (10_000, 16_000), (10_000, 70)])
+def test_noise_in_five_dimensions_equals_pairs(spark, monkeypatch, most, chunk):
+    """Clusters, repeated rows, far points and nulls; parts and chunks of any size."""
+    monkeypatch.setattr(density_parts, "CHUNK", chunk)
+    rng = np.random.default_rng(4)
+    middles = rng.normal(size=(4, 5)) * 3
+    near = middles[rng.integers(0, 4, 250)] + rng.normal(size=(250, 5)) * 0.35
+    points = np.round(np.vstack([near, rng.normal(size=(80, 5)) * 3, np.repeat(middles[:1], 30, 0)]), 3)
+    expected = noise_by_pairs(points.tolist(), 0.9, 5)
+    names = list("abcde")
+    rows = [(i, *map(float, p)) for i, p in enumerate(points)] + [(1000, None, 0.0, 0.0, 0.0, 0.0)]
+    table = spark.createDataFrame(rows, "id long, " + ", ".join(f"{n} double" for n in names))
+    found = {r.id: r.dbscan_label for r in density_parts.label_noise(table, 0.9, 5, names, most=most).collect()}
+    assert found.pop(1000) == 1
+    assert [found[i] for i in range(len(points))] == [int(x) for x in expected]
+    assert 0 < sum(found.values()) < len(points) - 100
+
+
+def test_parts_copy_only_margins(spark):
+    rows = [(float(i % 100), float(i // 100)) for i in range(4000)]
+    table = spark.createDataFrame(rows, "a double, b double")
+    vectors = density_parts._vectors(table, ["a", "b"], 0.5, 5)
+    parts = density_parts.parts_of(vectors, 2, 0.5, 300)
+    sizes = [r["count"] for r in parts.filter("home").groupBy("part").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 300
+    assert parts.count() < 4400
+
+
+def test_noise_of_nothing(spark):
+    empty = spark.createDataFrame([], "a double, b double, c double")
+    assert density_parts.label_noise(empty, 0.5, 5, ["a", "b", "c"]).count() == 0

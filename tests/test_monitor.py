@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from logtide.operators import monitor
+from logtide.functions import patterns as P
+from logtide.operators import monitor, panes
+from logtide.operators.windows import window_features
 
 
 def test_standardize(spark):
@@ -77,3 +79,45 @@ def test_correlate(spark):
     flagged = spark.createDataFrame([(base,), (base + timedelta(seconds=120),)], "window_start timestamp")
     rows = monitor.correlate(events, flagged, ["service"]).collect()
     assert [tuple(r) for r in rows] == [("a", 3, 2)]
+
+
+def test_sliding_features_are_those_of_each_window(spark):
+    """Panes give what filtering the events of every window gives, nulls and gaps included."""
+    rng = random.Random(3)
+    base = datetime(2024, 1, 1)
+    rows = []
+    for _ in range(300):
+        when = base + timedelta(seconds=rng.randint(-2000, 4000), microseconds=rng.randint(0, 999_999))
+        said = rng.choice([None, "", "a b", "Failed password for invalid user x", "a a a"])
+        rows.append((when if rng.random() < 0.95 else None, rng.choice(["h", None]), rng.choice(["p", "q"]), said))
+    events = spark.createDataFrame(rows, "timestamp timestamp, host string, process string, message string").cache()
+    for width, slide in ((300, 120), (100, 250), (60, 60)):
+        found = {r.window_start: r for r in panes.sliding_features(events, width, slide).collect()}
+        first, n = base.timestamp() // slide * slide, 0
+        for k in range(-2000 // slide - width // slide - 2, 4000 // slide + 2):
+            start = datetime.fromtimestamp(first + k * slide)
+            end = start + timedelta(seconds=width)
+            own = events.filter((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
+            if not [r for r in rows if r[0] is not None and start <= r[0] < end]:
+                assert start not in found
+                continue
+            n += 1
+            if n % 9 and width != 100:
+                continue
+            one = window_features(own, 100_000, datetime(2000, 1, 1)).first()
+            row = found[start]
+            assert row.window_end == end
+            for name in P.NUMERIC_FEATURES:
+                a, b = row[name], one[name]
+                assert a == b or abs(a - b) < 1e-9, (name, start)
+        assert len(found) == n
+
+
+def test_merged_sketches_count_within_their_bound(spark):
+    rows = [(datetime(2024, 1, 1) + timedelta(seconds=i), f"h{i % 7}", None, f"m{i * i % 5003}") for i in range(20_000)]
+    events = spark.createDataFrame(rows, "timestamp timestamp, host string, process string, message string")
+    small = panes.distinct_sketches(events, 60)
+    merged = panes.estimated_counts(panes.merge_sketches(small, 86_400)).first()
+    exact = len({r[3] for r in rows})
+    assert abs(merged.unique_messages - exact) <= panes.relative_error() * exact
+    assert (merged.distinct_hosts, merged.distinct_processes) == (7, 0)
