@@ -794,7 +794,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     name = f"{_database(spark)}.last_event"
-    tables.create_keyed_table(spark, name, "user_id BIGINT, event_type STRING, event_id BIGINT")
+    tables.create_keyed_table(spark, name, "user_id BIGINT, event_type STRING, event_id BIGINT", "user_id", 8)
     rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
     # Keys repeat within and between files of different sizes; the later write is the smaller.
     for part in ("event_id % 10 < 9 AND event_id % 7 > 0", "event_id % 10 = 9 OR event_id % 7 = 0"):
@@ -878,6 +878,48 @@ def _(spark, sf_dir):
     return done.join(kept)
 
 
+def _partitioned_events(spark, sf_dir) -> str:
+    name = f"{_database(spark)}.events"
+    tables.create_table(spark, name, "event_id BIGINT, value DOUBLE, props STRING, event_type STRING", ["event_type"])
+    tables.append(table(spark, sf_dir, "events").drop("ts", "user_id"), name)
+    return name
+
+
+@query(
+    "k12_update_rows",
+    """SELECT event_id, event_type, CASE WHEN hit THEN value * 2 + 1 ELSE value END AS value,
+         CASE WHEN hit THEN 'a, b (' || event_id || ')' ELSE props END AS props,
+         count(*) FILTER (hit) OVER () AS affected_rows
+       FROM (SELECT *, event_type IN ('click', 'error') AND event_id % 3 = 1 AS hit FROM events)""",
+)
+def _(spark, sf_dir):
+    name = _partitioned_events(spark, sf_dir)
+    done = tables.run_statement(
+        spark,
+        f"UPDATE {name} SET value = value * 2 + %s, props = concat('a, b (', event_id, ')') "
+        "WHERE event_type IN ('click', 'error') AND event_id %% 3 = %s",
+        [1, 1],
+    )
+    return spark.table(name).join(done)
+
+
+@query(
+    "k12_delete_rows",
+    """SELECT event_id, event_type, value, props, (SELECT count(*) FROM events
+         WHERE event_type = 'signup' OR (event_type = 'view' AND event_id % 2 = 0)) AS affected_rows
+       FROM events WHERE NOT (event_type = 'signup' OR (event_type = 'view' AND event_id % 2 = 0))""",
+)
+def _(spark, sf_dir):
+    """One partition goes as a whole, one in part."""
+    name = _partitioned_events(spark, sf_dir)
+    done = tables.run_statement(
+        spark,
+        f"DELETE FROM {name} WHERE event_type = 'signup' OR (event_type = %s AND event_id %% 2 = 0)",
+        ["view"],
+    )
+    return spark.table(name).join(done)
+
+
 @query("k13_without_connector", "SELECT count(*) AS rows_kept, false AS written FROM events")
 def _(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
@@ -984,6 +1026,23 @@ def _labelled_stream(features: DataFrame, registry: ModelRegistry) -> DataFrame:
     return spark.read.parquet(sink).drop("batch_id")
 
 
+@query("k6_append_once", f"{_STREAM_FEATURES} SELECT * FROM features")
+def _(spark, sf_dir):
+    """A stream of features whose every micro-batch is handed to its table twice."""
+    name = f"{_database(spark)}.streamed"
+    tables.create_batch_table(spark, name, FEATURE_SCHEMA)
+    lines = stream_lines(spark, _line_folder(spark, sf_dir), maxFilesPerTrigger=3)
+    made = rounded(stream_features(parse_stream(lines, YEAR), origin=STREAM_ORIGIN, late="60 days"))
+
+    def twice(batch: DataFrame, number: int) -> None:
+        for _ in range(2):
+            tables.append_batch(batch, name, "features", number)
+
+    writer = made.writeStream.foreachBatch(twice).option("checkpointLocation", scratch_path(spark, "progress"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).drop("_writer", "_batch")
+
+
 @query("t3_trained_stream_labels")
 def _(spark, sf_dir):
     stored = stored_features(spark, sf_dir)

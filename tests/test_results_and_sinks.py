@@ -135,3 +135,105 @@ def test_flow_features(spark):
     assert {r.direction_packets for r in flows.flow_totals(table).collect()} == {2}
     listed = flows.flow_listing(table, "p", "r").collect()
     assert {(r.src_port, r.dst_port, r.proxy_ip, r.reverse_proxy_ip) for r in listed} == {(1, 2, "p", "r")}
+
+
+def test_a_killed_compaction_loses_nothing(spark, database, monkeypatch):
+    tables.create_keyed_table(spark, "kept", "id INT, v INT", buckets=4)
+    for v in range(3):
+        rows = spark.range(60).selectExpr("cast(id AS int) AS id", f"cast({v} AS int) AS v")
+        tables.append_keyed(rows.filter(f"id % 3 >= {v}"), "kept", ["v"])
+    expected = sorted((i, i % 3) for i in range(60))
+
+    def read():
+        return sorted(map(tuple, tables.read_keyed(spark, "kept").collect()))
+
+    def killed(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "append", killed)
+        with pytest.raises(KeyboardInterrupt):
+            tables.compact_keyed(spark, "kept")
+    assert read() == expected
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_drop_generations", killed)
+        with pytest.raises(KeyboardInterrupt):
+            tables.compact_keyed(spark, "kept")
+    assert read() == expected and spark.table("kept").count() > 60
+    assert tables.compact_keyed(spark, "kept") == 4
+    assert read() == expected and spark.table("kept").count() == 60
+    # Only buckets with new versions are written again.
+    assert tables.compact_keyed(spark, "kept") == 0
+    tables.append_keyed(spark.createDataFrame([(7, 9)], "id int, v int"), "kept", ["v"])
+    assert tables.compact_keyed(spark, "kept") == 1
+    assert (7, 9) in read() and spark.table("kept").count() == 60
+
+
+def test_a_key_is_read_from_its_bucket(spark, database):
+    tables.create_keyed_table(spark, "pruned", "id BIGINT, v INT", buckets=8)
+    tables.append_keyed(spark.range(100).selectExpr("id", "cast(id AS int) AS v"), "pruned", ["v"])
+    assert tables.read_key(spark, "pruned", 42).first().v == 42
+    assert tables.read_key(spark, "pruned", 420).count() == 0
+    files = spark.table("pruned").filter("id = 42").select("_metadata.file_path").distinct().count()
+    row = tables.read_key(spark, "pruned", 42)
+    plan = row._jdf.queryExecution().toString()
+    assert files == 1 and "PartitionFilters: [isnotnull(_bucket" in plan
+
+
+def test_update_and_delete_rewrite_only_touched_partitions(spark, database):
+    tables.create_table(spark, "parted", "id INT, said STRING, p STRING", ["p"])
+    rows = [(i, f"s{i}", ["a", "b'c", None, "d/e"][i % 4]) for i in range(40)]
+    tables.append(spark.createDataFrame(rows, "id int, said string, p string"), "parted")
+
+    def files():
+        found = spark.table("parted").select("p", "_metadata.file_path").distinct().collect()
+        return {(r.p, r.file_path) for r in found}
+
+    before = files()
+    update = "UPDATE parted SET said = concat(said, ', (x', ')'), id = id + %s WHERE id >= %s AND p = 'b''c'"
+    assert tables.run_statement(spark, update, [100, 20]).first()[0] == 5
+    changed = {i: (i + 100, f"s{i}, (x)") if i >= 20 and p == "b'c" else (i, s) for i, s, p in rows}
+    assert sorted((r.id, r.said) for r in spark.table("parted").collect()) == sorted(changed.values())
+    assert {p for p, _ in files() - before} == {"b'c"}
+    assert tables.run_statement(spark, "DELETE FROM parted WHERE p IS NULL OR (p = 'a' AND id < 8)").first()[0] == 12
+    left = sorted(v[0] for i, v in changed.items() if rows[i][2] is not None and not (rows[i][2] == "a" and i < 8))
+    assert sorted(r.id for r in spark.table("parted").collect()) == left
+    assert tables.run_statement(spark, "DELETE FROM parted WHERE id = 10000").first()[0] == 0
+    tables.append(spark.createDataFrame([(1, "new", "b'c")], "id int, said string, p string"), "parted")
+    assert spark.table("parted").count() == len(left) + 1
+    assert tables.run_statement(spark, "DELETE FROM parted").first()[0] == len(left) + 1
+    assert spark.table("parted").count() == 0
+    tables.create_table(spark, "whole", "a INT")
+    for statement in ("UPDATE whole SET a = 1", "DELETE FROM whole", "UPDATE parted SET p = 'z'", "UPDATE parted SET q = 1"):
+        with pytest.raises(ValueError):
+            tables.run_statement(spark, statement)
+
+
+def test_a_batch_is_added_once(spark, database, tmp_path, monkeypatch):
+    tables.create_batch_table(spark, "batches", "id BIGINT")
+    rows = spark.range(5)
+    assert tables.append_batch(rows, "batches", "one", 0) == 5
+    assert tables.append_batch(rows, "batches", "one", 0) == 0
+    assert tables.append_batch(rows, "batches", "it's", 0) == 5
+    assert tables.append_batch(rows.filter("id < 0"), "batches", "one", 1) == 0
+    assert tables.append_batch(rows, "batches", "one", 1) == 0
+    assert spark.table("batches").count() == 10
+    # A stream that fails behind its append runs the batch again.
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    append, failed = tables.append_batch, []
+
+    def failing(batch, table, writer, number):
+        append(batch, table, writer, number)
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(tables, "append_batch", failing)
+    for _ in range(2):
+        query = tables.append_stream(stream, "batches", "stream", str(tmp_path / "progress"))
+        try:
+            query.trigger(availableNow=True).start().awaitTermination()
+        except Exception as error:
+            assert "killed" in str(error)
+    assert failed and sorted(r.id for r in spark.table("batches").filter("_writer = 'stream'").collect()) == list(range(5))
