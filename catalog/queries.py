@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from catalog.labels import (
 from logtide.functions import fields as X
 from logtide.functions import patterns as P
 from logtide.functions.quantiles import exact_quantile
-from logtide.operators import density_parts, flows, monitor, panes, results, windows
+from logtide.operators import density_parts, flows, monitor, panes, profiles, results, windows
 from logtide.operators.autoencoder import epoch_sums, train_autoencoder
 from logtide.operators.density import core_points, label_noise
 from logtide.operators.ensemble import attach_labels, ensemble_vote
@@ -1231,6 +1231,35 @@ def _(spark, sf_dir):
     return drift.select(F.round("psi", 9).alias("psi"))
 
 
+_SHARES_SQL = f"""WITH binned AS (SELECT {' + '.join(f'(value >= {e})::INT' for e in _EDGES)} AS bin,
+      count(*) FILTER (ts < {_HALF}) AS e, count(*) FILTER (ts >= {_HALF}) AS a
+      FROM events WHERE value IS NOT NULL GROUP BY 1)
+    SELECT bin, round(e / sum(e) OVER (), 9) AS expected, round(a / sum(a) OVER (), 9) AS actual,
+      true AS within FROM binned"""
+
+
+@query("x4_stored_profile", _SHARES_SQL)
+def _(spark, sf_dir):
+    """Shares of bins from stored sketches of days, held against exact ones."""
+    rows = _halves(spark, sf_dir)
+    days = stored(profiles.profile(rows, ["value"], "ts"), "profile")
+    half = F.expr(f"day >= to_date({_HALF})")
+    found = profiles.drift(profiles.merged(days.filter(~half)), profiles.merged(days.filter(half)), {"value": _EDGES})
+    estimated = found.select(F.posexplode(F.arrays_zip("expected", "actual")).alias("bin", "_share"))
+    place = F.lit(0)
+    for edge in _EDGES:
+        place = place + (F.col("value") >= edge).cast("int")
+    known = rows.filter("value IS NOT NULL").groupBy(place.alias("bin")).agg(
+        F.count_if(~F.col("late")).alias("e"), F.count_if("late").alias("a")
+    )
+    whole = Window.partitionBy()
+    exact = {n: F.col(c) / F.sum(c).over(whole) for n, c in (("expected", "e"), ("actual", "a"))}
+    joined = known.withColumns(exact).join(estimated, "bin")
+    # A bin has two edges.
+    off = [F.abs(F.col(n) - F.col(f"_share.{n}")) <= 2 * profiles.share_error() for n in exact]
+    return joined.select("bin", *[F.round(n, 9).alias(n) for n in exact], (off[0] & off[1]).alias("within"))
+
+
 @query(
     "x4_drift_ks",
     f"""WITH counts AS (SELECT value, count(*) FILTER (ts < {_HALF}) AS e,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -100,22 +101,26 @@ def tree_samples(
     table: DataFrame, keys: Sequence[str], columns: Sequence[str], rows: int,
     trees: int, sample_size: int, seed: int,
 ) -> DataFrame:
-    """`sample_size` rows per tree, drawn by a hash of (keys, tree, seed).
+    """`sample_size` rows per tree, drawn by hashes of (keys, seed).
 
-    The draw depends on no partitioning. Rows first pass a hash threshold that
-    leaves a few more candidates than needed, so ranking sees a bounded number
-    per tree and not the table.
+    The draw depends on no partitioning. Every row is a candidate of each tree with the
+    same small chance, which leaves a few more per tree than needed, so ranking sees a
+    bounded number and not the table. The trees of a row are found by skipping: hashes
+    give the number of trees up to the next that takes it. Most rows skip all trees and
+    are gone after one hash, so only candidates become rows of trees.
     """
     wanted = min(sample_size, rows)
     share = min(1.0, (wanted + 12 * wanted**0.5 + 50) / max(rows, 1))
     # 53 bits, so that the comparison is exact in double precision.
     draw = F.shiftrightunsigned(F.xxhash64(*keys, "tree", F.lit(seed)), 11)
-    ids = F.array(*[F.lit(i) for i in range(trees)])
-    candidates = (
-        table.select(*keys, *columns, F.explode(ids).alias("tree"))
-        .withColumn("_draw", draw)
-        .filter(F.col("_draw") < int(share * 2**53))
-    )
+    if share >= 1:  # a few hundred rows, each a candidate of every tree
+        taking = F.sequence(F.lit(0), F.lit(trees - 1))
+        some = table
+    else:
+        first = _skipped(keys, seed, F.lit(0), share)
+        some = table.withColumn("_first", first).filter(F.col("_first") < trees)
+        taking = _taking(keys, seed, share, trees)
+    candidates = some.select(*keys, *columns, F.explode(taking).alias("tree")).withColumn("_draw", draw)
     ranked = Window.partitionBy("tree").orderBy("_draw", *keys)
     return (
         candidates.withColumn("_rank", F.row_number().over(ranked))
@@ -124,6 +129,30 @@ def tree_samples(
     )
 
 
+def _skipped(keys: Sequence[str], seed: int, step: Column, share: float) -> Column:
+    """How many trees are passed before the next that takes the row: geometric by inversion."""
+    bits = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed), F.lit("skip"), step), 11)
+    uniform = (bits + F.lit(0.5)) / F.lit(float(2**53))
+    return F.floor(F.log(uniform) / F.lit(math.log1p(-share)))
+
+
+def _taking(keys: Sequence[str], seed: int, share: float, trees: int) -> Column:
+    """All trees that take a row, from the first (`_first`) on."""
+
+    def step(held: Column, i: Column) -> Column:
+        found = held[F.size(held) - 1] + 1 + _skipped(keys, seed, i, share)
+        return F.concat(held, F.array(found))
+
+    # A row is taken again and again until its trees are used up, so steps past the end
+    # add numbers that are left out.
+    every = F.aggregate(
+        F.sequence(F.lit(1), F.lit(trees - 1)),
+        F.array(F.col("_first")),
+        lambda held, i: F.when(held[F.size(held) - 1] < trees, step(held, i)).otherwise(held),
+    )
+    return F.filter(every, lambda t: t < trees)
+
+
 def fit_isolation_forest(
     table: DataFrame,
     keys: Sequence[str] = ("window_start",),

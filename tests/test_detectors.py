@@ -87,6 +87,25 @@ def test_samples_ignore_partitioning(spark, features):
     assert len(first) == 5 * 64
 
 
+def test_skipping_draws_every_row_equally_often(spark):
+    """Rows, trees and pairs of trees are drawn as often as independent draws would be."""
+    rows, trees, size = 20_000, 40, 64
+    table = spark.range(rows).selectExpr("id AS k", "cast(id AS double) AS v")
+    drawn = [(r.tree, int(r.v)) for r in tree_samples(table, ["k"], ["v"], rows, trees, size, 3).collect()]
+    assert len(drawn) == len(set(drawn)) == trees * size
+    per_slice = np.bincount([v * 20 // rows for _, v in drawn], minlength=20)
+    expected = trees * size / 20
+    assert ((per_slice - expected) ** 2 / expected).sum() < 43.8  # chi square, 19 degrees, 0.1 %
+    taken = {}
+    for tree, v in drawn:
+        taken.setdefault(v, []).append(tree)
+    twice = sum(len(t) * (len(t) - 1) / 2 for t in taken.values())
+    usual = trees * (trees - 1) / 2 * size * size / rows
+    assert abs(twice - usual) < 5 * usual**0.5
+    plan = tree_samples(table, ["k"], ["v"], rows, trees, size, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.rindex("Filter (") < plan.index("Range")
+
+
 def test_forest_finds_outliers(spark, features):
     forest = fit_isolation_forest(features, contamination=0.02, seed=4)
     assert forest.nodes.groupby("tree").size().max() <= 2 * 256 - 1

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtide.functions import patterns as P
-from logtide.operators import monitor, panes
+from logtide.operators import monitor, panes, profiles
 from logtide.operators.windows import window_features
 
 
@@ -121,3 +121,27 @@ def test_merged_sketches_count_within_their_bound(spark):
     exact = len({r[3] for r in rows})
     assert abs(merged.unique_messages - exact) <= panes.relative_error() * exact
     assert (merged.distinct_hosts, merged.distinct_processes) == (7, 0)
+
+
+def test_stored_profiles_give_the_drift_of_the_rows(spark):
+    rng = random.Random(9)
+    base = datetime(2024, 1, 1)
+    rows = [(base + timedelta(hours=i % 240), rng.gauss(0, 1) + (i % 240 >= 120) * 0.5, float(i % 4), None) for i in range(24_000)]
+    table = spark.createDataFrame(rows, "ts timestamp, v double, w double, x double").cache()
+    days = profiles.profile(table, ["v", "w", "x"], "ts")
+    assert days.count() == 30
+    past = profiles.merged(days.filter("day < '2024-01-06'")).cache()
+    now = profiles.merged(days.filter("day >= '2024-01-06'"))
+    assert {r.feature: r.rows for r in past.collect()} == {"v": 12_000, "w": 12_000}
+    found = {r.feature: r for r in profiles.drift(past, now).collect()}
+    edges = profiles.edges_of(past)
+    late = F.col("ts") >= F.lit(base + timedelta(hours=120))
+    for name in ("v", "w"):
+        exact = monitor.psi(table, name, late, edges[name]).first().psi
+        assert abs(found[name].psi - exact) < 0.1 * exact + 0.01
+        for edge, share in zip(edges[name], found[name].expected, strict=False):
+            own = [r[1 if name == "v" else 2] for r in rows if r[0] < base + timedelta(hours=120)]
+            lower = max([e for e in edges[name] if e < edge], default=-100)
+            assert abs(share - sum(lower <= v < edge for v in own) / len(own)) <= 2 * profiles.share_error()
+    assert found["v"].psi > 0.2 and found["w"].psi < 0.01
+    assert abs(found["v"].ks - monitor.ks_statistic(table, "v", late).first().ks) < 0.05
