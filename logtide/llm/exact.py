@@ -24,6 +24,8 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.withColumn("hash", F.md5("text") if digest is None else digest)
+    # Deals members of a group whatever their ids are: they may be null or alike.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     # Ids and counts are combined before the shuffle: a hot text is one row per task.
     size = [F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id")]
     groups = rows.groupBy("hash").agg(*size)
@@ -49,7 +51,7 @@ def _mixed(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """
     salts = F.ceil(F.col("group_size") / COMPARED).cast("int")
     members = rows.join(groups.filter("group_size > 1"), "hash")
-    spread = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int"))
+    spread = members.withColumn("salt", F.pmod(F.xxhash64("row"), salts).cast("int"))
     stays = members.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("hash", "group_size")
     copies = stays.agg(F.max("text").alias("keep_text")).select(
         "hash", "keep_text", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")

@@ -193,8 +193,9 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """
     spark, names = pieces.sparkSession, pieces.columns
     # Ranks within parts of a length, so that a length of a third of all pieces is many
-    # parts. They are stored, since they must be those of the rows that are counted.
-    part = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in names]), F.lit(partitions_for(pieces))).cast("int")
+    # parts. Rows are dealt by their place in the input, as they may be alike in all columns.
+    # They are stored, since they must be those of the rows that are counted.
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(partitions_for(pieces))).cast("int")
     own = Window.partitionBy("_part", "length").orderBy("length")
     numbered = stored(
         pieces.withColumn("_part", part).withColumn("_rank", F.row_number().over(own).cast("long") - 1), "pieces"

@@ -138,7 +138,9 @@ def seed_places(
 def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(copies, texts): md5, first per text; and first, tie, text of each text once.
 
-    `first` is the least doc_id with the text, `tie` tells texts of equal ids apart.
+    `first` is the least doc_id with the text, `tie` tells texts of equal ids apart. `key`
+    stands for both: the id, or a negative number from the text's hash where several texts
+    have no id or the same. So texts without ids are as many keys as texts.
     """
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("first"), whole_text().alias("text")
@@ -146,11 +148,18 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = stored(rows.groupBy("md5").agg(F.min("first").alias("first")), "copies")
     # Joined by hash and id, the copies of a hot text are dealt to all tasks.
     once = rows.join(copies, ["md5", "first"]).dropDuplicates(["md5", "first"])
-    return copies, stored(once.select("first", F.xxhash64("text").alias("tie"), "text"), "texts")
+    # Stored, so that Spark knows how few they usually are and sends them to the texts.
+    shared = copies.filter(F.col("first") != NO_ID).groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = stored(shared.select("first", F.lit(True).alias("shared")), "shared-ids")
+    tie = F.xxhash64("text").alias("tie")
+    named = once.join(shared, "first", "left").select("first", tie, "text", "shared")
+    hashed = -F.shiftrightunsigned("tie", 1) - 1
+    key = F.when((F.col("first") == NO_ID) | F.col("shared"), hashed).otherwise(F.col("first")).alias("key")
+    return copies, stored(named.select("first", "tie", key, "text"), "texts")
 
 
 def repeated_seeds(texts: DataFrame, unit: str, gram: int, window: int) -> DataFrame:
-    """first, places: where texts have seeds that occur more than once, one row per `first`."""
+    """key, places: where texts have seeds that occur more than once, one row per `key`."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +184,7 @@ def repeated_seeds(texts: DataFrame, unit: str, gram: int, window: int) -> DataF
                 yield plain_batch(
                     {
                         "gram": np.r_[grams, told].view(np.int64),
-                        "first": pa.array(np.r_[ids[first + text], np.zeros(len(told), np.int64)]),
+                        "key": pa.array(np.r_[ids[first + text], np.zeros(len(told), np.int64)]),
                         "place": np.r_[places - bounds[text], np.full(len(told), -1)].astype(np.int32),
                         "known": np.r_[known, np.zeros(len(told), bool)],
                     }
@@ -186,22 +195,22 @@ def repeated_seeds(texts: DataFrame, unit: str, gram: int, window: int) -> DataF
         if not own:
             return
         found = pa.Table.from_batches(own)
-        gram, first, place, known = (found.column(i).to_numpy() for i in range(4))
+        gram, key, place, known = (found.column(i).to_numpy() for i in range(4))
         order = np.argsort(gram[~known], kind="stable")
         ranked = gram[~known][order]
         starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, np.int64)
         counts = np.diff(np.r_[starts, len(ranked)])
-        own_first, own_place = first[~known][order], place[~known][order]
+        own_key, own_place = key[~known][order], place[~known][order]
         told = np.logical_or.reduceat(own_place < 0, starts) if len(starts) else np.zeros(0, bool)
         keep = np.repeat((counts > 1) | told, counts) & (own_place >= 0)
         yield plain_batch(
-            {"first": np.r_[first[known], own_first[keep]], "place": np.r_[place[known], own_place[keep]]}
+            {"key": np.r_[key[known], own_key[keep]], "place": np.r_[place[known], own_place[keep]]}
         )
 
-    seeds = texts.select("first", "text").mapInArrow(emit, "gram long, first long, place int, known boolean")
-    route = F.when(F.col("known"), F.xxhash64("first", "place")).otherwise(F.col("gram"))
-    met = seeds.repartition(2 * partitions_for(texts), route).mapInArrow(meet, "first long, place int")
-    return stored(met.groupBy("first").agg(F.collect_list("place").alias("places")), "seeds")
+    seeds = texts.select("key", "text").mapInArrow(emit, "gram long, key long, place int, known boolean")
+    route = F.when(F.col("known"), F.xxhash64("key", "place")).otherwise(F.col("gram"))
+    met = seeds.repartition(2 * partitions_for(texts), route).mapInArrow(meet, "key long, place int")
+    return stored(met.groupBy("key").agg(F.collect_list("place").alias("places")), "seeds")
 
 
 def results_for(
@@ -242,4 +251,4 @@ def results_for(
 
 def with_places(texts: DataFrame, found: DataFrame) -> DataFrame:
     """first, tie, places (ascending), text of the texts that have such places."""
-    return texts.join(found, "first").select("first", "tie", F.sort_array("places").alias("places"), "text")
+    return texts.join(found, "key").select("first", "tie", F.sort_array("places").alias("places"), "text")

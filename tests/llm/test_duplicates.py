@@ -4,11 +4,13 @@ import random
 
 import numpy as np
 import pytest
-from cases import components, frame, known, simhash, texts, without_repeats, without_strings, words_of
+from cases import components, frame, known, sentence, simhash, texts, without_repeats, without_strings, words_of
 from pyspark.sql import functions as F
 
 from logtide.llm import components as graph
-from logtide.llm import exact, seeds, simhash as near, substring_tree, suffix_array
+from logtide.llm import exact, packing, seeds, simhash as near, substring_tree, suffix_array
+
+PASSAGE = sentence(random.Random(12), 60)
 
 
 @pytest.mark.parametrize("digits", [32, 1])
@@ -180,3 +182,28 @@ def test_equal_windows_share_a_seed():
     for p in range(len(passage) - window + 1):
         inside = [{(at - p - shift, h) for at, h in found.items() if 0 <= at - p - shift <= window - gram} for found, shift in zip(of, (33, 0), strict=True)]
         assert inside[0] & inside[1]
+
+
+def test_rows_without_an_id_add_places_in_proportion(spark):
+    """A thousand such rows have about as many places as rows with ids, and rows that share one id too."""
+    rng = random.Random(11)
+    said = [f"{sentence(rng, 15)} {PASSAGE} {sentence(rng, 10 + i % 7)}" for i in range(1000)]
+
+    def places(ids):
+        _, found = seeds.distinct_texts(frame(spark, list(zip(ids, said, strict=True))))
+        some = seeds.repeated_seeds(found, "words", 8, 20)
+        return some.select(F.sum(F.size("places")), F.max(F.size("places")), F.count(F.lit(1))).first()
+
+    known = places(range(1000))
+    for ids in ([None] * 1000, [7] * 1000):
+        other = places(ids)
+        assert other[0] == known[0] and other[1] == known[1] and other[2] == known[2] == 1000
+
+
+def test_equal_rows_are_dealt_to_all_parts(spark):
+    pieces = spark.range(3000).selectExpr("cast(null AS long) AS doc_id", "7 AS length")
+    placed = packing.pack(pieces)
+    assert placed.select("sequence_id", "offset").distinct().count() == 3000
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(4))
+    sizes = [r["count"] for r in pieces.groupBy(part.alias("p")).count().collect()]
+    assert max(sizes) < 2 * min(sizes) and len(sizes) == 4
