@@ -54,6 +54,11 @@ Attribution 4.0 International Public License ("Public License")."""),
     ("CC-BY-NC-4.0", """Creative Commons Attribution-NonCommercial 4.0 International Public License. By exercising
 the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative
 Commons Attribution-NonCommercial 4.0 International Public License ("Public License")."""),
+    ("CC-BY-SA-4.0", """Creative Commons Attribution-ShareAlike 4.0 International Public License. By exercising the
+Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons
+Attribution-ShareAlike 4.0 International Public License ("Public License")."""),
+    ("CC-BY-SA-4.0", """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International
+License"""),
     ("CC0-1.0", """Creative Commons Legal Code CC0 1.0 Universal. Statement of Purpose. The laws of most
 jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon
 the creator and subsequent owner(s) (each and all, an "owner") of an original work of authorship and/or a database
@@ -83,6 +88,7 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
 COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
 OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("MIT", "Licensed under the MIT license"),
     ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
 the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
     ("MPL-2.0", """Mozilla Public License Version 2.0. 1. Definitions. 1.1. "Contributor" means each individual or
