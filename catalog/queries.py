@@ -41,7 +41,7 @@ from logtide.plans.anomaly import AnomalyPlan, shape_results
 from logtide.plans.log_features import features_from_files
 from logtide.session import scratch_path, stored
 from logtide.sinks import files, tables
-from logtide.sources.lines import lines_per_file, read_lines, stream_lines
+from logtide.sources.lines import lines_per_file, read_lines, replay, stream_lines
 from logtide.sources.tables import FEATURE_SCHEMA, read_csv, read_feature_csv, run_query
 from logtide.streaming.features import parse_stream, stream_correlation, stream_features, stream_sessions
 from logtide.streaming.scoring import write_labels
@@ -731,6 +731,34 @@ def _(spark, sf_dir):
     return spark.read.schema(written.schema).json(path)
 
 
+@query("k4_features_json_array", f"{FEATURES_CTE} SELECT * FROM features")
+def _(spark, sf_dir):
+    """Read back as whole documents, which JSON arrays are."""
+    path = scratch_path(spark, "features")
+    written = features(spark, sf_dir)
+    files.write_json_array(written, path)
+    return spark.read.schema(written.schema).json(path, multiLine=True)
+
+
+@query(
+    "s4_bounded_replay",
+    """SELECT file, count(*) AS n, max(line_number) AS last_number FROM (
+         SELECT *, row_number() OVER (ORDER BY file, line_number) AS nr FROM (
+           SELECT ['a', 'b', 'c'][event_id % 3 + 1] || '.log' AS file,
+                  row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS line_number FROM events))
+       WHERE nr <= (SELECT count(*) // 2 FROM events) GROUP BY file""",
+)
+def _(spark, sf_dir):
+    """Half of all lines in order of arrival."""
+    base = scratch_path(spark, "folder")
+    lines = log_lines(spark, sf_dir).select("event_id", "line")
+    for i, name in enumerate(_S2_FILES):
+        _one_file(lines.filter(f"event_id % 3 = {i}").repartition(1).sortWithinPartitions("event_id"), f"{base}/{name}.log")
+    first = replay(read_lines(spark, base, numbered=True), table(spark, sf_dir, "events").count() // 2)
+    name = F.element_at(F.split("source_file", "/"), -1).alias("file")
+    return first.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.max("line_number").alias("last_number"))
+
+
 @query(
     "k5_results_csv",
     f"{LABELLED_CTE} SELECT {', '.join([*P.FEATURE_COLUMNS, *P.LABEL_COLUMNS])} FROM labelled",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,24 @@ def write_json_lines(table: DataFrame, path: str, mode: str = "overwrite") -> No
     writer.option("ignoreNullFields", False).json(path)
 
 
+def write_json_array(table: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON array per part file, NULL fields included; no part is held as a whole."""
+    options = {"timestampFormat": TIME_FORMAT, "ignoreNullFields": "false"}
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            rows = []
+            for row in batch.column(0).to_pylist():
+                rows.append(before + row)
+                before = ","
+            yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if before == "[" else "]"]})
+
+    rows = table.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]), options).alias("value"))
+    rows.mapInArrow(bracketed, "value string").write.mode(mode).text(path)
+
+
 def save_output(events: DataFrame, path: str, name: str = "parsed_logs") -> None:
     """Events as CSV and as JSON lines, side by side."""
     write_csv(events, f"{path}/{name}.csv")

@@ -6,7 +6,7 @@ import re
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.functions import fields as X
@@ -32,15 +32,20 @@ def read_lines(
     Several paths give the union of their lines. Subfolders are left alone, whatever
     their names. A missing path raises, or is warned about and left out with
     `on_missing="warn"`. Names that start with `_` or `.` are left out with a warning.
-    `skip_unreadable` goes on without files that cannot be read. `numbered=True` adds
-    `line_number` per file at the price of a shuffle.
+    `skip_unreadable` goes on without files that cannot be read, with a warning that names
+    `unreadable_files`. `numbered=True` adds `line_number` per file, in the order of
+    arrival within it, at the price of a shuffle.
+
+    Spark lists the folders itself; of the files it finds only those wanted are read.
     """
     wanted = [paths] if isinstance(paths, str) else list(paths)
-    found = [file for path in wanted for file in _files(spark, path, on_missing)]
+    found = [place for path in wanted if (place := _place(spark, path, on_missing)) is not None]
     if not found:
         schema = LINE_SCHEMA + (", line_number bigint" if numbered else "")
         return spark.createDataFrame([], schema)
-    raw = spark.read.option("ignoreCorruptFiles", skip_unreadable).text(found)
+    if skip_unreadable:
+        warnings.warn("unreadable files are left out; unreadable_files lists them", RuntimeWarning, stacklevel=2)
+    raw = _listed(spark.read.option("ignoreCorruptFiles", skip_unreadable), "text", found)
     extra = [F.col("_metadata.file_path").alias("source_file")]
     if numbered:
         extra.append(F.col("_metadata.file_block_start").alias("_block"))
@@ -54,6 +59,39 @@ def read_lines(
     )
 
 
+def unreadable_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """source_file of files that hold bytes but of which no line can be read."""
+    wanted = [paths] if isinstance(paths, str) else list(paths)
+    found = [_place(spark, path, "error") for path in wanted]
+    name = F.col("_metadata.file_path").alias("source_file")
+    listed = _listed(spark.read, "binaryFile", found).filter("length > 0").select(name)
+    read = _listed(spark.read.option("ignoreCorruptFiles", True), "text", found)
+    return listed.join(read.select(name).distinct(), "source_file", "left_anti")
+
+
+def _listed(reader: DataFrameReader, kind: str, found: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """What `reader` reads of the files and, of folders, of the files directly in them."""
+    files = [name for _, name, is_folder in found if not is_folder]
+    folders = [name for _, name, is_folder in found if is_folder]
+    # The path is known before a file is opened, so Spark drops the others unread.
+    file = _plain(F.col("_metadata.file_path"))
+    own = file.isin([_plain_text(x) for x in files]) if files else F.lit(False)
+    if folders:
+        own = own | F.regexp_replace(file, "/[^/]*$", "").isin([_plain_text(x).rstrip("/") for x in folders])
+    # Without this option Spark would take `name=value` subfolders for partitions and
+    # leave out the files beside them.
+    reader = reader.option("recursiveFileLookup", True).format(kind)
+    return reader.load([path for path, _, _ in found]).filter(own)
+
+
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _plain_text(path: str) -> str:
+    return re.sub("^file:/+", "file:/", path)
+
+
 def _folder(spark: SparkSession, path: str):
     """The path as Hadoop sees it, with its file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,21 +99,24 @@ def _folder(spark: SparkSession, path: str):
     return system.makeQualified(place), system
 
 
-def _files(spark: SparkSession, path: str, on_missing: str) -> list[str]:
-    """The file, or the plain files of the folder, listed once on the driver."""
+def _place(spark: SparkSession, path: str, on_missing: str) -> tuple[str, str, bool] | None:
+    """The path to read, as it is named in rows, and whether it is a folder; None if missing is fine."""
     place, system = _folder(spark, path)
     if not system.exists(place):
         if on_missing == "error":
             raise FileNotFoundError(f"no log file or folder at {path}")
         warnings.warn(f"no log file or folder at {path}", RuntimeWarning, stacklevel=3)
-        return []
-    names = [x.getPath() for x in system.listStatus(place) if x.isFile()]
-    shown = [x for x in names if not x.getName().startswith(("_", "."))]
-    # Spark's own writers leave markers; only other hidden names are worth a word.
-    hidden = [x for x in names if x.getName().startswith(("_", ".")) and not _is_marker(x.getName())]
-    if hidden:
-        warnings.warn(f"{len(hidden)} hidden files left out in {path}", RuntimeWarning, stacklevel=3)
-    return [x.toString() for x in shown]
+        return None
+    is_folder = system.getFileStatus(place).isDirectory()
+    if is_folder:
+        # Only hidden names come to the driver. Spark's own writers leave markers; others
+        # are worth a word.
+        hidden = spark._jvm.org.apache.hadoop.fs.Path(place, "[_.]*")
+        names = [x.getPath().getName() for x in system.globStatus(hidden) or [] if x.isFile()]
+        strange = [x for x in names if not _is_marker(x)]
+        if strange:
+            warnings.warn(f"{len(strange)} hidden files left out in {path}", RuntimeWarning, stacklevel=3)
+    return place.toString(), place.toUri().toString(), is_folder
 
 
 def _is_marker(name: str) -> bool:
@@ -86,21 +127,29 @@ def lines_per_file(lines: DataFrame) -> DataFrame:
     return lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("line_count"))
 
 
-def replay(lines: DataFrame, max_logs: int, order_by: str | Column = "line") -> DataFrame:
-    """The first `max_logs` records of a batch, as the bounded receiver takes them."""
-    return lines.orderBy(order_by).limit(max_logs)
+ARRIVAL = ("source_file", "line_number")
+
+
+def replay(lines: DataFrame, max_logs: int, order_by: str | Column | Sequence[str] = ARRIVAL) -> DataFrame:
+    """The first `max_logs` records of a batch in order of arrival, as the bounded receiver takes them.
+
+    That is the order of the files by name and of the lines within a file, so `lines` must be
+    numbered (`read_lines(numbered=True)`), unless another order is given.
+    """
+    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    lacking = [c for c in order if isinstance(c, str) and c not in lines.columns]
+    if lacking:
+        raise ValueError(f"lines have no {', '.join(lacking)} to tell their order of arrival")
+    return lines.orderBy(*order).limit(max_logs)
 
 
 def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     """New files directly in a folder as a stream of records. Blank records stay."""
     place, _ = _folder(spark, path)
-    # Without this option Spark would take `name=value` subfolders for partitions and
-    # leave out the files beside them. Files further down are pruned by their path.
+    # See `_listed`; files further down are pruned by their path.
     raw = spark.readStream.options(recursiveFileLookup=True, **options).text(path)
     file = F.col("_metadata.file_path")
-    folder = F.regexp_replace(F.regexp_replace(file, "/[^/]*$", ""), "^file:/+", "file:/")
-    wanted = place.toUri().toString().rstrip("/")
-    own = raw.filter(folder == re.sub("^file:/+", "file:/", wanted))
+    own = raw.filter(F.regexp_replace(_plain(file), "/[^/]*$", "") == _plain_text(place.toUri().toString()).rstrip("/"))
     return _clean(own, F.col("value"), [file.alias("source_file")])
 
 

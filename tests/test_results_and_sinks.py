@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -237,3 +238,14 @@ def test_a_batch_is_added_once(spark, database, tmp_path, monkeypatch):
         except Exception as error:
             assert "killed" in str(error)
     assert failed and sorted(r.id for r in spark.table("batches").filter("_writer = 'stream'").collect()) == list(range(5))
+
+
+def test_json_arrays(spark, tmp_path):
+    rows = [(i, None if i % 2 else f'"{i}", [é]') for i in range(9)]
+    files.write_json_array(spark.createDataFrame(rows, "a int, b string").repartition(3), str(tmp_path / "j"))
+    parts = sorted((tmp_path / "j").glob("part-*"))
+    assert len(parts) == 3
+    found = [row for part in parts for row in json.loads(part.read_text())]
+    assert sorted((r["a"], r["b"]) for r in found) == rows
+    files.write_json_array(spark.createDataFrame([], "a int").coalesce(1), str(tmp_path / "none"))
+    assert [json.loads(p.read_text()) for p in (tmp_path / "none").glob("part-*")] in ([], [[]])

@@ -11,7 +11,7 @@ from logtide.operators.numbering import number_lines
 from logtide.plans.log_features import LogFeaturePlan, features_from_files
 from logtide.sinks.files import write_csv
 from logtide.sources import records
-from logtide.sources.lines import lines_per_file, read_lines, replay, stream_lines
+from logtide.sources.lines import lines_per_file, read_lines, replay, stream_lines, unreadable_files
 from logtide.sources.records import as_columns, csv_records
 from logtide.sources.tables import infer_columns, read_csv, read_feature_csv, run_query
 
@@ -32,7 +32,11 @@ def test_folder_and_file(spark, folder):
     counts = {r.source_file.split("/")[-1]: r.line_count for r in lines_per_file(lines).collect()}
     assert counts == {"a.log": 3, "b": 2}
     assert read_lines(spark, str(folder / "b")).count() == 2
-    assert [r.line for r in replay(lines, 2).collect()] == ["ok  line", "one"]
+    numbered = read_lines(spark, str(folder), numbered=True)
+    assert [r.line for r in replay(numbered, 4).collect()] == ["one", "ok  line", "three", "x"]
+    assert [r.line for r in replay(lines, 2, "line").collect()] == ["ok  line", "one"]
+    with pytest.raises(ValueError, match="line_number"):
+        replay(lines, 2)
 
 
 def test_stream_takes_the_files_of_the_folder_only(spark, folder, tmp_path_factory):
@@ -44,6 +48,27 @@ def test_stream_takes_the_files_of_the_folder_only(spark, folder, tmp_path_facto
     assert sorted(lines) == ["ok  line", "one", "three", "x", "y"]
 
 
+def test_files_and_folders_together(spark, folder):
+    paths = [str(folder / "deep"), str(folder / "b"), str(folder / "day=2024-01-01" / "c.log")]
+    assert sorted(r.line for r in read_lines(spark, paths).collect()) == ["hidden", "hidden", "x", "y"]
+    (folder / "with space").mkdir()
+    assert read_lines(spark, str(folder / "with space")).count() == 0
+    (folder / "with space" / "a b.log").write_text("spaced\n")
+    assert [r.line for r in read_lines(spark, str(folder / "with space")).collect()] == ["spaced"]
+
+
+def test_other_files_are_not_read(spark, folder):
+    (folder / "deep" / "broken.gz").write_bytes(b"no gzip at all")
+    assert read_lines(spark, str(folder)).count() == 5
+    with pytest.raises(Exception):
+        read_lines(spark, str(folder / "deep")).count()
+    with pytest.warns(RuntimeWarning, match="unreadable"):
+        lines = read_lines(spark, str(folder / "deep"), skip_unreadable=True)
+    assert [r.line for r in lines.collect()] == ["hidden"]
+    found = unreadable_files(spark, str(folder / "deep")).collect()
+    assert [r.source_file.rsplit("/", 1)[-1] for r in found] == ["broken.gz"]
+
+
 def test_hidden_files_are_reported(spark, tmp_path):
     (tmp_path / "_old.log").write_text("gone\n")
     (tmp_path / "new.log").write_text("here\n")
