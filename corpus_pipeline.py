@@ -1,8 +1,8 @@
 """From documents to packed token sequences, in five stages.
 
 Each stage takes what the one before it kept. All but the last return the columns of
-documents. Rows without an id are one document to the stages that decide by id: they
-stay if one of them does.
+documents. Rows without an id, or with an id of other rows, are told apart by all their
+columns, so each follows its own verdict.
 """
 
 from __future__ import annotations
@@ -14,32 +14,56 @@ from pyspark.sql import functions as F
 
 from logtide.llm import exact, packing, quality, simhash, substring_tree
 from logtide.llm.queries import vocabulary_path
-from logtide.llm.shared import documents, stored
+from logtide.llm.shared import documents, stored, whole_text
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _keep(docs: DataFrame, verdicts: DataFrame, kept: Column) -> DataFrame:
-    """The documents whose verdict is to keep them."""
-    ids = verdicts.filter(kept).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.select(*COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of documents and `_key`: the id, or a number from the whole row where rows have none or share it.
+
+    So every row follows its own verdict; rows alike in all columns are one. Such numbers
+    come after all usual ids.
+    """
+    rows = docs.select(*COLUMNS)
+    ids = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that Spark knows how few they usually are and sends them to the rows.
+    shared = stored(ids.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_shared")), "shared-ids")
+    hashed = F.shiftrightunsigned(F.xxhash64(*COLUMNS), 2)
+    named = rows.join(shared, F.col("doc_id") == F.col("_id"), "left")
+    key = F.when(F.col("doc_id").isNull() | F.col("_shared"), hashed + F.lit(1 << 62)).otherwise(F.col("doc_id"))
+    return named.select(*COLUMNS, key.alias("_key"))
+
+
+def _as_ids(keyed: DataFrame) -> DataFrame:
+    """Rows under their keys, as operators take them."""
+    return keyed.select(F.col("_key").alias("doc_id"), *COLUMNS[1:])
+
+
+def _keep(keyed: DataFrame, verdicts: DataFrame, kept: Column) -> DataFrame:
+    """The documents whose verdict, by their key, is to keep them."""
+    keys = verdicts.filter(kept).select(F.col("doc_id").alias("_kept")).distinct()
+    return keyed.join(keys, F.col("_key") == F.col("_kept"), "left_semi").select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule."""
-    return _keep(docs, quality.judge(docs), F.col("kept"))
+    keyed = _keyed(docs)
+    return _keep(keyed, quality.judge(_as_ids(keyed)), F.col("kept"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, repeated rows included."""
-    kept = _keep(docs, exact.exact_groups(docs), F.col("kept"))
-    return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    kept = exact.exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept"), "text_sha256").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.sha2(whole_text(), 256) == F.col("text_sha256"))
+    return docs.select(*COLUMNS).join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each group of near duplicates."""
-    groups = simhash.near_groups(docs)
-    return _keep(docs, groups, F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keyed = _keyed(docs)
+    groups = simhash.near_groups(_as_ids(keyed))
+    return _keep(keyed, groups, F.col("doc_id") == F.col("component_id"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
