@@ -27,7 +27,8 @@ def cell(value):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     found = QUERIES[name](spark, SF_DIR)
     result = connection.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
@@ -80,7 +81,26 @@ def test_whole_pipeline_runs(spark):
 
 
 def test_stages_take_nothing_and_nulls(spark):
-    for rows in ([], [(None, None), (None, None), (1, None)]):
+    """Empty texts are rejected, are one group, have no word left and are one end each."""
+    for rows, sizes in (([], [0] * 5), ([(None, None), (None, None), (1, None)], [0, 1, 1, 0, 3])):
         docs = frame(spark, rows)
-        for _, stage in corpus_pipeline.STAGES:
-            assert stage(spark, docs, SF_DIR).count() == len(rows) or rows
+        assert [stage(spark, docs, SF_DIR).count() for _, stage in corpus_pipeline.STAGES] == sizes
+
+
+@pytest.mark.parametrize("number", [None, 7])
+def test_rows_without_an_own_id_follow_their_own_verdict(spark, number):
+    """Good and bad, equal and near texts under one id or none."""
+    rng = random.Random(21)
+    good = [sentence(rng, 80, "abcdefghijklmnop") for _ in range(40)]
+    near = good[0].split(" ")
+    near[40] = "zzz"
+    bad = ["again and again and " * 60 + sentence(rng, 3) for _ in range(30)]
+    docs = frame(spark, [(number, t) for t in [*good, *good[:10], *bad, " ".join(near)]] + [(1, sentence(rng, 50))])
+    left = stored(corpus_pipeline.quality_rules(spark, docs, SF_DIR), "left")
+    assert not {r.text for r in left.collect()} & set(bad)
+    assert left.count() == 52
+    left = stored(corpus_pipeline.exact_dedup(spark, left, SF_DIR), "left")
+    assert left.count() == 42
+    roots = set(components([simhash(r.text) for r in sorted(left.collect(), key=lambda r: r.text)]))
+    left = stored(corpus_pipeline.near_dedup(spark, left, SF_DIR), "left")
+    assert left.count() == len(roots)
