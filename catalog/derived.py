@@ -94,7 +94,8 @@ lines AS (
   FROM built)
 """
 
-# Line patterns, words and levels again, in the SQL engine's own regex syntax.
+# The line patterns, words and levels again, in the SQL engine's own regex
+# syntax. Those of Spark are in logtide/functions/patterns.py.
 _ISO = r"\d{4}-\d{2}-\d{2}[T\s]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:?\d{2})?"
 _ACCESS = (
     r'^(\d{1,3}(?:\.\d{1,3}){3}) - - \[([^\]]+)\] "\w+ [^"]*" \d+ \d+ "[^"]*" "[^"]*"'

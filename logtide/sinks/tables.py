@@ -18,6 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from logtide.functions import patterns as P
 from logtide.sources.tables import infer_columns, read_csv, read_texts, spark_type, typed, with_marks
 
+# The columns of the three result tables.
 RESULT_DDL = (
     "date DATE, start_time STRING, end_time STRING, event_count INT, unique_messages INT, "
     "distinct_hosts INT, distinct_processes INT, avg_msg_length DOUBLE, failed_auth_count INT, "
