@@ -1,24 +1,24 @@
 """Licences of files: statements compared with templates, then inherited along paths.
 
 Lines, comment runs, paragraphs and sliding windows of terms are compared with template
-statements, headers, licence texts and tags by the cosine of sparse TF-IDF vectors: rows
-of (unit, term, weight) joined with the templates' terms. Only units that hold enough of a
-template's rarer terms to reach the threshold at all are compared; the bound is exact. A
-file has the licence of its best unit. A licence file, by its name or because such a unit
-is a large part of it, licenses its directory; files without one take the licence of the
-nearest directory above. Directories, not files, meet their ancestors.
+statements, headers, licence texts and tags by the cosine of sparse TF-IDF vectors. That
+needs a file's own text and the fixed list of templates only, so texts are scored where
+they are read (`license_scores`) and a path, a licence and a score move on. A file has the
+licence of its best unit. A licence file, by its name or because such a unit is a large
+part of it, licenses its directory; files without one take the licence of the nearest
+directory above. Directories, not files, meet their ancestors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtide.llm.license_scores import Scorer
 from logtide.llm.license_texts import BLOCKS
-from logtide.llm.shared import stored, whole_text, words
+from logtide.llm.shared import stored, whole_text
 
 #: Usual statements of common licences, by SPDX identifier.
 TEMPLATES = {
@@ -36,8 +36,6 @@ TEMPLATES = {
 #: Every template has one of these words; what has none must come closer to a template.
 SPEAKS = "(?i)licen[cs]e|copyright|permission|permitted|public domain"
 NAMES = "(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
-#: How a line starts that continues a comment.
-COMMENT = r"[\x20\t]*(#|//|/\*|\*|--|;|<!--|%|REM\b)"
 TERM = "[a-z0-9]+([.-][a-z0-9]+)*"
 THRESHOLD = 0.5
 #: Windows have the size of their template, so what states a licence comes closer to it.
@@ -50,112 +48,7 @@ COMMON = (
 #: Share of a file's words that makes it a licence file, in percent.
 MOSTLY = 20
 DIGITS = 6
-
-
-def _terms(text: Column, tags: bool = False) -> Column:
-    """Terms of a text; with `tags` an SPDX tag and its identifier are one term."""
-    if tags:
-        text = F.regexp_replace(text, "(?i)SPDX-License-Identifier:[\\x20\t]*\\(?", "spdx-license-identifier-")
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
-
-
-def _damped(tf: Column, damp: bool) -> Column:
-    """Blocks repeat usual words often, so there the logarithm of the frequency counts."""
-    return F.log(tf) + 1.0 if damp else tf
-
-
-def template_weights(docs: DataFrame, templates: Sequence[tuple[str, str]], damp: bool = False) -> DataFrame:
-    """license, template (its place), size, term, weight, norm, and idf of a term.
-
-    As many rows as the templates have terms.
-    """
-    rows = [(n, *t) for n, t in enumerate(templates)]
-    table = docs.sparkSession.createDataFrame(rows, "template int, license string, statement string")
-    terms = table.select("template", "license", _terms(F.col("statement"), damp).alias("terms"))
-    terms = terms.select("template", "license", F.size("terms").alias("size"), F.explode("terms").alias("term"))
-    counts = terms.groupBy("template", "license", "size", "term").agg(F.count(F.lit(1)).alias("tf"))
-    found = counts.groupBy("term").agg(_idf(F.count(F.lit(1)), len(templates)).alias("idf"))
-    weights = counts.join(found, "term").withColumn("weight", _damped(F.col("tf"), damp) * F.col("idf"))
-    norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    return weights.join(norms, "template").select("license", "template", "size", "term", "idf", "weight", "norm")
-
-
-def _idf(templates_with_term: Column, templates: int) -> Column:
-    return F.log(F.lit(1.0 + templates) / (1.0 + templates_with_term)) + 1.0
-
-
-def anchors(weights: DataFrame, threshold: float, spent: float) -> DataFrame:
-    """template, size, term, part, least: the terms of which a part must be in whatever resembles a template.
-
-    A cosine is at most the root of the share `part` of a template's squared weight that
-    its shared terms have. The most usual terms with under `spent` of the threshold's
-    square are left out; so of the others at least `least` must be there. Nothing that
-    reaches the threshold is lost, whatever terms are called usual.
-    """
-    part = F.col("weight") * F.col("weight") / (F.col("norm") * F.col("norm"))
-    usual = Window.partitionBy("template").orderBy(~F.col("term").isin(COMMON), "idf", "term")
-    summed = weights.withColumn("part", part).withColumn("upto", F.sum("part").over(usual))
-    # A little less, as sums of doubles are not exact.
-    square = threshold**2 - 1e-6
-    out = F.col("upto") < spent * square
-    left = F.sum(F.when(out, F.col("part")).otherwise(0.0)).over(Window.partitionBy("template"))
-    least = F.lit(square) - left
-    return summed.withColumn("least", least).filter(~out).select("template", "size", "term", "part", "least")
-
-
-def _scores(
-    units: DataFrame, keys: list[str], weights: DataFrame, templates: int, own: bool = False, damp: bool = False
-) -> DataFrame:
-    """`keys`, license and score of units (keys, terms) that reach the threshold.
-
-    Units meet all templates, or the one in their column `template` if `own`.
-    """
-    term = units.select(*keys, F.explode("terms").alias("term"))
-    counts = term.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
-    # The templates are a fixed list, so their terms are few.
-    known = F.broadcast(weights.select("term", "idf").distinct())
-    rare = _idf(F.lit(0), templates)
-    weighed = counts.join(known, "term", "left").withColumn("own", _damped(F.col("tf"), damp) * F.coalesce("idf", rare))
-    norms = weighed.groupBy(*keys).agg(F.sqrt(F.sum(F.col("own") * F.col("own"))).alias("own_norm"))
-    met = F.broadcast(weights.drop("idf", "size"))
-    met = weighed.drop("idf").join(met, ["term", "template"] if own else "term")
-    dots = met.groupBy(*dict.fromkeys([*keys, "license", "template"])).agg(
-        F.sum(F.col("own") * F.col("weight")).alias("dot"), F.first("norm").alias("norm")
-    )
-    score = F.round(F.col("dot") / (F.col("norm") * F.col("own_norm")), DIGITS).alias("score")
-    return dots.join(norms, keys).select(*keys, "license", score).filter(F.col("score") >= THRESHOLD)
-
-
-def windows(files: DataFrame, marks: DataFrame, tags: bool = False) -> DataFrame:
-    """file, template, start: windows of a template's size with enough of its anchors.
-
-    Windows start at every eighth of the size, wherever lines break.
-    """
-    step = F.greatest(F.floor(F.col("size") / 8), F.lit(1)).cast("int")
-    # Most files lack the anchors of a template altogether; the few others are told apart further.
-    all_marks = F.broadcast(marks.groupBy().agg(F.collect_set("term").alias("marks")))
-    listed = files.select("file", F.array_distinct(_terms(F.col("text"), tags)).alias("terms")).join(all_marks)
-    held = listed.select("file", F.explode(F.array_intersect("terms", "marks")).alias("term"))
-    held = held.join(F.broadcast(marks), "term").groupBy("file", "template")
-    # Equal files add up alike, which only lets more through.
-    held = held.agg(F.sum("part").alias("has"), F.max("least").alias("need")).filter("has >= need")
-    held = stored(held.select("file", "template"), "held")
-    some = files.join(held.select("file").distinct(), "file", "left_semi")
-    terms = some.select("file", F.posexplode(_terms(F.col("text"), tags)).alias("at", "term"))
-    hits = terms.join(F.broadcast(marks), "term").join(held, ["file", "template"], "left_semi").withColumn("step", step)
-    first = F.greatest(F.ceil((F.col("at") - F.col("size") + 1) / F.col("step")), F.lit(0)).cast("int")
-    last = F.floor(F.col("at") / F.col("step")).cast("int")
-    met = hits.select("file", "template", "term", "part", "least", "step", F.explode(F.sequence(first, last)).alias("k"))
-    met = met.groupBy("file", "template", "k", "step", "term").agg(F.max("part").alias("part"), F.max("least").alias("least"))
-    enough = met.groupBy("file", "template", "k", "step").agg(F.sum("part").alias("part"), F.max("least").alias("least"))
-    return enough.filter("part >= least").select("file", "template", (F.col("k") * F.col("step")).alias("start"))
-
-
-def _units(text: Column) -> Column:
-    """Lines, runs of comment lines and paragraphs, as one array; a unit is at its first place."""
-    runs = F.split(F.regexp_replace(text, f"(?m)^(?!{COMMENT}).*$", "\u0000"), "[\n\r]*\u0000[\n\r\u0000]*")
-    more = F.concat(runs, F.split(text, "\n[\\x20\t\r]*\n"))
-    return F.concat(F.split(text, "\n"), F.filter(more, lambda x: x.contains("\n")))
+FOUND = "path string, license string, score double, kind int, share long"
 
 
 def statements(
@@ -165,46 +58,14 @@ def statements(
 
     Lines, runs of comment lines and paragraphs are compared with the statements; windows
     across line breaks and inside long lines with statements and blocks, under a higher
-    threshold. Only files with a unit at or above its threshold have a row; of equal scores the first licence by
-    name counts, of its units lines.
+    threshold. Lines end with a line feed. Only files with a unit at or above its threshold
+    have a row; of equal scores the first licence by name counts, of its units lines.
     """
+    scorer = Scorer(list(templates.items()), list(blocks), COMMON, SPEAKS, THRESHOLD, WINDOW_THRESHOLD)
     files = files.select("path", whole_text().alias("text"))
-    files = files.withColumn("file", F.xxhash64("path", "text"))
-    said = list(templates.items())
-    found = []
-    lone = template_weights(files, said)
-    marked = F.broadcast(anchors(lone, WINDOW_THRESHOLD, 1.0).groupBy().agg(F.collect_set("term").alias("marks")))
-    line = ["path", "file", "line", "speaks", "n_words", "n_said"]
-    # Counted before the units are told apart, or each unit would count the words of its file.
-    counted = files.withColumn("n_words", F.size(words(F.col("text"))))
-    own = counted.select("path", "file", "n_words", F.posexplode(_units(F.col("text"))).alias("line", "said"))
-    own = own.withColumn("terms", _terms(F.col("said"))).join(
-        marked, F.col("said").rlike(SPEAKS) | F.arrays_overlap("terms", "marks")
-    )
-    own = own.withColumn("n_said", F.size(words(F.col("said")))).withColumn("speaks", F.col("said").rlike(SPEAKS))
-    close = _scores(own, line, lone, len(said)).filter(F.col("speaks") | (F.col("score") >= WINDOW_THRESHOLD))
-    found.append(close.withColumn("kind", F.lit(0)))
-    piece = ["path", "file", "template", "start", "n_words", "n_said"]
-    both = [(said, lone), (list(blocks), template_weights(files, blocks, damp=True))] if blocks else [(said, lone)]
-    for kind, (some, weights) in enumerate(both, 1):
-        places = stored(windows(files, anchors(weights, WINDOW_THRESHOLD, 0.8), kind == 2), "windows")
-        sizes = F.broadcast(weights.select("template", "size").distinct())
-        places = places.join(sizes, "template").groupBy("file").agg(
-            F.collect_list(F.struct("template", "start", "size")).alias("places")
-        )
-        # A file's terms are taken once, before its windows are told apart.
-        near = files.join(places, "file").withColumn("terms", _terms(F.col("text"), kind == 2))
-        near = near.select("path", "file", "terms", F.size("terms").alias("n_words"), F.explode("places").alias("at"))
-        cut = near.select(
-            "path", "file", "n_words", "at.template", "at.start",
-            F.slice("terms", F.col("at.start") + 1, F.col("at.size")).alias("terms"),
-        ).withColumn("n_said", F.size("terms"))
-        close = _scores(cut, piece, weights, len(some), own=True, damp=kind == 2).filter(F.col("score") >= WINDOW_THRESHOLD)
-        found.append(close.withColumn("kind", F.lit(kind)))
-    scored = reduce(DataFrame.unionByName, [x.select("path", "license", "score", "n_said", "n_words", "kind") for x in found])
-    share = F.floor(100 * F.col("n_said") / F.greatest("n_words", F.lit(1))).cast("long")
-    best = F.min(F.struct((-F.col("score")).alias("down"), "license", "kind", (-share).alias("share")))
-    return scored.groupBy("path").agg(best.alias("best")).select(
+    found = files.mapInArrow(lambda batches: scorer.best(batches), FOUND)
+    best = F.min(F.struct((-F.col("score")).alias("down"), "license", "kind", (-F.col("share")).alias("share")))
+    return found.groupBy("path").agg(best.alias("best")).select(
         "path", "best.license", (-F.col("best.down")).alias("score"), (-F.col("best.share")).alias("share")
     )
 
