@@ -117,9 +117,21 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op1_sql() -> str:
-    """Scores and inheritance of `licenses` in SQL, from the same parameters."""
-    quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+    """Scores of lines and windows and inheritance of `licenses` in SQL, from the same parameters.
+
+    Runs of lines and paragraphs are left to the tests.
+    """
+
+    def literal(text: str) -> str:
+        return "'{}'".format(text.replace("'", "''"))
+
+    quoted = ", ".join(f"({literal(k)}, {literal(v)})" for k, v in licenses.TEMPLATES.items())
+    listed = enumerate([(0, *x) for x in licenses.TEMPLATES.items()] + [(1, *x) for x in licenses.BLOCKS])
+    every = ", ".join(f"({s}, {t}, {literal(k)}, {literal(v)})" for t, (s, k, v) in listed)
     size, speaks = len(licenses.TEMPLATES), licenses.SPEAKS.removeprefix("(?i)")
+    rare = f"ln(1.0 + CASE s WHEN 0 THEN {size} ELSE {len(licenses.BLOCKS)} END)"
+    tags = r"'SPDX-License-Identifier:[\x20\x09]*\(?', 'spdx-license-identifier-', 'gi'"
+    square = licenses.WINDOW_THRESHOLD**2 - 1e-6
     return f"""
 WITH templates(license, statement) AS (VALUES {quoted}),
 tcount AS (
@@ -151,9 +163,57 @@ scored AS (
          round(sum(own * weight) / (any_value(norm) * any_value(own_norm)), {licenses.DIGITS}) AS score
   FROM (SELECT * FROM lweight JOIN tweight USING (term)) w JOIN lnorm USING (doc_id, line) JOIN tnorm USING (license)
   GROUP BY w.doc_id, line, w.license),
+pieces(s, t, license, statement) AS (VALUES {every}),
+pterms AS (
+  SELECT s, t, license, unnest(regexp_extract_all(lower(
+           CASE s WHEN 1 THEN regexp_replace(statement, {tags}) ELSE statement END), '{licenses.TERM}')) AS term
+  FROM pieces),
+pcount AS (SELECT s, t, license, term, count(*) AS tf FROM pterms GROUP BY ALL),
+pidf AS (SELECT s, term, {rare} - ln(1.0 + count(*)) + 1.0 AS idf FROM pcount GROUP BY s, term),
+pweight AS (
+  SELECT s, t, license, term, idf, CASE s WHEN 1 THEN ln(tf) + 1.0 ELSE tf END * idf AS weight,
+         sum(tf) OVER (PARTITION BY s, t)::BIGINT AS size FROM pcount JOIN pidf USING (s, term)),
+pnorm AS (SELECT *, sqrt(sum(weight * weight) OVER (PARTITION BY s, t)) AS norm FROM pweight),
+listed AS (
+  SELECT s, doc_id, regexp_extract_all(lower(
+           CASE s WHEN 1 THEN regexp_replace(text, {tags}) ELSE text END), '{licenses.TERM}') AS terms
+  FROM files, (VALUES (0), (1)) AS sets(s)),
+tokens AS (SELECT s, doc_id, unnest(terms) AS term, unnest(range(len(terms))) AS pos FROM listed),
+hits AS (
+  SELECT s, doc_id, t, pos, term, weight * weight / (norm * norm) AS part, size, greatest(size // 8, 1) AS step
+  FROM tokens JOIN pnorm USING (s, term)),
+-- By Cauchy and Schwarz a cosine is at most the root of the shared terms' part.
+could AS (
+  SELECT doc_id, t FROM (SELECT DISTINCT doc_id, t, term, part FROM hits) GROUP BY ALL HAVING sum(part) >= {square}),
+covered AS (
+  SELECT s, doc_id, t, size, step, term, part,
+         unnest(range(greatest(ceil((pos - size + 1) / step), 0)::BIGINT, pos // step + 1)) AS k
+  FROM hits JOIN could USING (doc_id, t)),
+near_windows AS (
+  SELECT s, doc_id, t, k * step AS start, size FROM (SELECT DISTINCT * FROM covered)
+  GROUP BY ALL HAVING sum(part) >= {square}),
+cut AS (
+  SELECT w.*, len(terms) AS n_words, terms[start + 1 : start + size] AS said
+  FROM near_windows w JOIN listed USING (s, doc_id)),
+wcount AS (
+  SELECT s, doc_id, t, start, any_value(n_words) AS n_words, any_value(n_said) AS n_said, term, count(*) AS tf
+  FROM (SELECT *, len(said) AS n_said, unnest(said) AS term FROM cut) GROUP BY s, doc_id, t, start, term),
+wweight AS (
+  SELECT w.*, CASE s WHEN 1 THEN ln(tf) + 1.0 ELSE tf END * coalesce(idf, {rare} + 1.0) AS own
+  FROM wcount w LEFT JOIN pidf USING (s, term)),
+wscored AS (
+  SELECT w.doc_id, any_value(license) AS license, 1 + w.s AS kind,
+         100 * any_value(n_said) // greatest(any_value(n_words), 1) AS share,
+         round(sum(own * weight) / (any_value(norm) * sqrt(sum(own * own) + any_value(rest))), {licenses.DIGITS}) AS score
+  FROM (SELECT w.*, sum(CASE WHEN p.term IS NULL THEN own * own ELSE 0 END) OVER (
+               PARTITION BY w.doc_id, w.t, w.start) AS rest, license, weight, norm
+        FROM wweight w LEFT JOIN pnorm p ON w.s = p.s AND w.t = p.t AND w.term = p.term) w
+  WHERE weight IS NOT NULL GROUP BY w.doc_id, w.s, w.t, w.start),
 best AS (
-  SELECT * FROM scored WHERE score >= {licenses.THRESHOLD}
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, share DESC) = 1),
+  SELECT * FROM (
+    SELECT doc_id, license, 0 AS kind, share, score FROM scored WHERE score >= {licenses.THRESHOLD}
+    UNION ALL SELECT doc_id, license, kind, share, score FROM wscored WHERE score >= {licenses.WINDOW_THRESHOLD})
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, kind, share DESC) = 1),
 licensed AS (
   SELECT dir, arg_min(license, doc_id::VARCHAR) AS license FROM best JOIN files USING (doc_id)
   WHERE share >= {licenses.MOSTLY} GROUP BY dir),
