@@ -146,6 +146,18 @@ def test_scores_are_the_same_again(spark, scored):
     assert all(again[i] == pytest.approx(r.score) for i, r in found.items())
 
 
+def test_groups_grow_in_number_with_the_texts(spark, scored, monkeypatch):
+    rows, found = scored
+    few = pitman_yor.prepared(frame(spark, rows)).agg({"grp": "max"}).first()[0]
+    monkeypatch.setattr(pitman_yor, "GROUP_BYTES", 10_000)
+    table = pitman_yor.prepared(frame(spark, rows))
+    assert table.agg({"grp": "max"}).first()[0] > few
+    again = {r.doc_id: r for r in pitman_yor.score(frame(spark, rows)).collect()}
+    assert again.keys() == found.keys()
+    for doc_id, row in found.items():
+        assert math.isclose(row.score, again[doc_id].score, rel_tol=1e-9)
+
+
 def test_scores_of_nulls_and_nothing(spark):
     assert pitman_yor.score(frame(spark, [])).count() == 0
     rows = pitman_yor.score(frame(spark, [(None, None), (None, "a b"), (7, "a b"), (7, "a b")])).collect()
