@@ -4,7 +4,7 @@ Each context, the word before, has a restaurant; all of them share one parent, t
 restaurant of single words, whose base is uniform. A pair that occurs once sits at one
 table. The seats of the others are drawn by Gibbs sweeps: given the parent's probability
 of the word and the other tables of the restaurant, the customers of a pair are seated
-anew one after the other. Two chains run side by side; what they predict after the last
+anew one after the other, however many they are. Two chains run side by side; what they predict after the last
 sweep is averaged. Pairs, contexts and words are rows spread over the cluster, so a
 context with a third of all words is as many rows as it has different followers.
 
@@ -34,8 +34,6 @@ SWEEPS = 2
 STRENGTH = 1.0
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 WORD_BITS, CONTEXT_BITS = np.uint64(40), np.uint64(24)
-#: Customers seated one by one; after that a thirty-second of those seated at a time.
-SINGLY = 64
 #: Turns in which groups are scored.
 TURNS = 2
 #: Bytes of text a group has on average; a task holds one group with its answers.
@@ -195,30 +193,40 @@ def seat(
     """Tables of each dish after seating its `counts` customers anew.
 
     `chance`: the parent's probability of the dish; `tables`: those of the restaurant
-    without one of the dish. Draws depend on the key, the chain and the customer only.
+    without one of the dish. Every customer opens a table with its own probability. That
+    falls until the next one is opened, so the customers before one that might open are
+    passed by a geometric number at the highest probability, and that one opens with the
+    share of its own in it: all seats have the law of seating one by one, in steps that
+    grow with the tables and the logarithm of the customers. Draws depend on the key, the
+    chain and the step only.
     """
     out = np.ones(len(keys), np.int64)
-    order = np.argsort(-counts, kind="stable")
-    left = counts[order]
-    base, seen, salt = keys[order], 1, np.uint64((chain + 1) * 0xD1342543DE82EF95 % (1 << 64))
-    p, others = chance[order], tables[order].astype(np.float64)
-    own = np.ones(len(keys), np.float64)
-    while True:
-        active = int(np.searchsorted(-left, -seen, "left"))  # dishes with more customers than are seated
-        if not active:
-            break
-        block = 1 if seen < SINGLY else max(1, seen // 32)
-        t = own[:active]
-        opens = (STRENGTH + discount * (others[:active] + t)) * p[:active]
-        share = opens / (opens + seen - discount * t)
-        draw = (mixed(base[:active] ^ (salt + np.uint64(seen))) >> np.uint64(11)) / float(1 << 53)
-        taken = np.minimum(left[:active] - seen, block)
-        own[:active] = t + np.floor(taken * share + draw)
-        seen += block
-    out[order] = own.astype(np.int64)
+    rows = np.flatnonzero(counts > 1)
+    key, left, p, others = keys[rows], counts[rows].astype(np.float64), chance[rows], tables[rows].astype(np.float64)
+    seen, own = np.ones(len(rows)), np.ones(len(rows))
+    salt, step = (chain + 1) * 0xD1342543DE82EF95, 0
+    while len(rows):
+        opens = (STRENGTH + discount * (others + own)) * p
+        weight = opens + seen - discount * own
+        with np.errstate(divide="ignore"):
+            passed = np.floor(-np.log1p(-_draws(key, salt + step)) / np.log1p(opens / (weight - opens)))
+        reach = np.minimum(2 * seen, left)
+        might = seen + passed < reach
+        own += might & (_draws(key, salt + step + 1) * (weight + passed) < weight)
+        seen = np.where(might, seen + passed + 1, reach)
+        step += 2
+        done = seen >= left
+        if done.any():
+            out[rows[done]] = own[done].astype(np.int64)
+            rows, key, left, p, others, seen, own = (x[~done] for x in (rows, key, left, p, others, seen, own))
     return out
 
 
+def _draws(keys: np.ndarray, salt: int) -> np.ndarray:
+    """One number between zero and one, never either, per key."""
+    return ((mixed(keys ^ np.uint64(salt % (1 << 64))) >> np.uint64(12)) + 0.5) / float(1 << 52)
+
+
 def _sample(rows: DataFrame, discount: float, sweep: int) -> DataFrame:
     """`rows` (pair, c, p0, p1, o0, o1) with new tables t0, t1 of both chains."""
 

@@ -209,3 +209,16 @@ def test_seats_stay_within_their_customers():
     assert (seats[:100] == 1).all() and (seats >= 1).all() and (seats <= counts).all()
     more = pitman_yor.seat(keys, counts, np.full(500, 0.5), np.full(500, 50), 0.7, 0)
     assert more.sum() > seats.sum()
+
+
+def test_seats_have_the_law_of_seating_one_by_one():
+    rng = np.random.default_rng(1)
+    for customers, chance, tables in ((2, 0.3, 5), (40, 0.01, 50), (3000, 0.02, 300), (3000, 0.5, 2000)):
+        keys = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
+        found = pitman_yor.seat(keys, *(np.full(4000, x) for x in (customers, chance, tables)), 0.7, 0)
+        own = np.ones(4000)
+        for seen in range(1, customers):
+            opens = (pitman_yor.STRENGTH + 0.7 * (tables + own)) * chance
+            own += rng.random(4000) < opens / (opens + seen - 0.7 * own)
+        assert found.mean() == pytest.approx(own.mean(), abs=6 * own.std() / math.sqrt(4000))
+        assert found.std() == pytest.approx(own.std(), rel=0.1)
