@@ -2,14 +2,17 @@
 
 import math
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from cases import LOWER, frame, known, texts, words_of
 
-from logtide.llm import licenses, pitman_yor, quality
+from logtide.llm import licenses, pitman_yor, quality, seeds
 
 
 def counts_of(text):
@@ -222,3 +225,22 @@ def test_seats_have_the_law_of_seating_one_by_one():
             own += rng.random(4000) < opens / (opens + seen - 0.7 * own)
         assert found.mean() == pytest.approx(own.mean(), abs=6 * own.std() / math.sqrt(4000))
         assert found.std() == pytest.approx(own.std(), rel=0.1)
+
+
+def test_asking_holds_little_beside_its_batch(monkeypatch):
+    monkeypatch.setattr(seeds, "_powers", {})
+    texts = pa.array([" ".join(f"w{i * j % 9973}" for j in range(400)) for i in range(4000)])
+    groups = pa.array([i % 9 for i in range(4000)], pa.int32())
+    batch = pa.record_batch([pa.array(range(4000)), pa.array([False] * 4000), groups, texts], list("dhgt"))
+    asked = 0
+    tracemalloc.start()
+    try:
+        for rows in pitman_yor._asked(iter([batch]), 8):
+            words = rows.filter(pc.equal(rows.column("kind"), pitman_yor.WORDS))
+            asked += pc.sum(words.column("counts").flatten()).as_py() or 0
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert asked == 2 * 4000 * 401
+    assert batch.nbytes > 8_000_000
+    assert peak < 120_000_000
