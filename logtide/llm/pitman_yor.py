@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.seeds import STEP, mixed, word_bounds, word_hashes
-from logtide.llm.shared import column_bytes, discard, partitions_for, plain_batch, steps, stored, whole_text
+from logtide.llm.shared import column_bytes, discard, plain_batch, steps, stored, whole_text
 from logtide.llm.simhash import lower_ascii
 
 CHAINS = 2
@@ -40,6 +40,8 @@ TURNS = 2
 GROUP_BYTES = 8_000_000
 WORDS, PAIRS, TYPES, REPEATED, ALONE_IN, ALONE_OF, TOTALS = range(7)
 ROWS = "kind int, bucket int, grp int, keys array<bigint>, counts array<bigint>"
+#: What a step asks of a bucket is one row, however many groups there are: the keys of one group after the other.
+ASKED = "kind int, bucket int, groups array<int>, sizes array<int>, keys array<bigint>, counts array<int>"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -48,16 +50,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """doc_id, held, grp and the lowered text; there are as many groups as the amount of text asks for."""
+    """doc_id, held, grp and the lowered text; there are as many groups as the amount of text asks for.
+
+    Every group meets every bucket of keys, so their number must not follow the shuffle
+    partitions: of few texts in many partitions, groups would have a key a bucket.
+    """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(partitions_for(docs), -(-size // GROUP_BYTES))
+    groups = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // GROUP_BYTES))
     text = lower_ascii(whole_text())
-    return docs.select(
+    table = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held"),
         F.pmod(F.xxhash64("doc_id", text), F.lit(groups)).cast("int").alias("grp"),
         text.alias("text"),
     )
+    table.groups = groups
+    return table
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,7 +88,7 @@ def pair_keys(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Per group and bucket the different words and pairs of a step.
+    """Per bucket the different words and pairs of each group in a step.
 
     counts: occurrences in training, times two, plus one if also asked for by a held-out
     text. The start of a text is asked for as a word that never occurs.
@@ -98,23 +106,42 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             part = data[offsets[first] : offsets[last]]
             tokens, contexts, bounds = tokens_of(part, offsets[first : last + 1] - offsets[first])
             sizes = np.diff(bounds)
-            group = np.repeat(groups[first:last], sizes)
+            present, nth = np.unique(groups[first:last], return_inverse=True)
+            group = np.repeat(nth, sizes)
             is_held = np.repeat(held[first:last], sizes)
             for kind, keys in ((WORDS, tokens), (PAIRS, pair_keys(contexts, tokens))):
                 bucket = (mixed(keys) >> np.uint64(33)).astype(np.int64) % buckets
-                place = group.astype(np.int64) * buckets + bucket
+                place = bucket * len(present) + group
                 order = np.argsort(keys)
                 order = order[np.argsort(place[order].astype(np.min_scalar_type(int(place.max()))), kind="stable")]
                 k, p = keys[order], place[order]
                 new = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
                 seen = np.add.reduceat((~is_held[order]).astype(np.int64), new)
                 also = np.logical_or.reduceat(is_held[order], new)
-                yield _array_rows(kind, p[new], k[new], 2 * seen + also, buckets)
-            present = np.unique(groups[first:last]).astype(np.int64)
+                yield _asked_rows(kind, present, p[new], k[new], 2 * seen + also)
             at = int(mixed(np.array([START]))[0] >> np.uint64(33)) % buckets
-            yield _array_rows(
-                WORDS, present * buckets + at, np.full(len(present), START), np.zeros(len(present), np.int64), buckets
-            )
+            starts, none = np.full(len(present), START), np.zeros(len(present), np.int64)
+            yield _asked_rows(WORDS, present, at * len(present) + np.arange(len(present)), starts, none)
+
+
+def _asked_rows(kind: int, present: np.ndarray, place: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket; `place` is the bucket times the number of `present` groups, and the group's turn."""
+    runs = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    bucket = place[runs] // len(present)
+    rows = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    groups = pa.array(np.r_[rows, len(runs)].astype(np.int32))
+    bounds = pa.array(np.r_[runs[rows], len(place)].astype(np.int32))
+    sizes = np.diff(np.r_[runs, len(place)]).astype(np.int32)
+    return plain_batch(
+        {
+            "kind": np.full(len(rows), kind, np.int32),
+            "bucket": bucket[rows].astype(np.int32),
+            "groups": pa.ListArray.from_arrays(groups, pa.array(present[place[runs] % len(present)].astype(np.int32))),
+            "sizes": pa.ListArray.from_arrays(groups, pa.array(sizes)),
+            "keys": pa.ListArray.from_arrays(bounds, pa.array(keys.view(np.int64))),
+            "counts": pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32))),
+        }
+    )
 
 
 def _array_rows(kind: int, place: np.ndarray, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -155,10 +182,10 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _met_bucket(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wanted = rows[0].column(0)[0].as_py()
-    grp = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b in rows])
-    sizes = np.concatenate([np.diff(b.column(3).offsets.to_numpy()) for b in rows])
-    keys = np.concatenate([b.column(3).flatten().to_numpy(zero_copy_only=False) for b in rows]).view(np.uint64)
-    counts = np.concatenate([b.column(4).flatten().to_numpy(zero_copy_only=False) for b in rows])
+    grp, sizes, keys, counts = (
+        np.concatenate([b.column(i).flatten().to_numpy(zero_copy_only=False) for b in rows]) for i in range(2, 6)
+    )
+    keys, counts = keys.view(np.uint64), counts.astype(np.int64)
     order = np.argsort(keys)
     k, c, g = keys[order], counts[order], np.repeat(grp, sizes)[order].astype(np.int64)
     new = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
@@ -337,8 +364,9 @@ class Model:
     """Counts, restaurants and averaged predictions of a corpus."""
 
     def __init__(self, docs: DataFrame):
-        buckets = 2 * partitions_for(docs)
-        asked = docs.select("doc_id", "held", "grp", "text").mapInArrow(lambda x: _asked(x, buckets), ROWS)
+        # As much text a bucket as a group has, whatever the shuffle partitions.
+        buckets = docs.groups
+        asked = docs.select("doc_id", "held", "grp", "text").mapInArrow(lambda x: _asked(x, buckets), ASKED)
         dealt = asked.repartition(2 * buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket")
         met = dealt.mapInArrow(_met, ROWS)
         self.met = stored(met, "counts", "kind")

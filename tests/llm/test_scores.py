@@ -161,6 +161,39 @@ def test_groups_grow_in_number_with_the_texts(spark, scored, monkeypatch):
         assert math.isclose(row.score, again[doc_id].score, rel_tol=1e-9)
 
 
+def test_what_groups_ask_does_not_follow_the_shuffle_partitions(spark, scored):
+    rows, found = scored
+    docs, before = frame(spark, rows), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    try:
+        table = pitman_yor.prepared(docs)
+        assert table.groups < 97
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert table.groups == pitman_yor.prepared(docs).groups
+
+
+def test_a_step_asks_a_bucket_once_for_all_groups():
+    texts = pa.array([f"a b{i % 7} c{i} a b{i % 7}" for i in range(300)])
+    batch = [pa.array(range(300)), pa.array([i % 3 == 0 for i in range(300)]), pa.array([i % 90 for i in range(300)], pa.int32())]
+    asked = list(pitman_yor._asked(iter([pa.record_batch([*batch, texts], list("dhgt"))]), 5))
+    assert sum(x.num_rows for x in asked) <= 2 * 5 + 1
+    times, different = Counter(), Counter()
+    for rows in asked:
+        for r in rows.to_pylist():
+            assert sum(r["sizes"]) == len(r["keys"]) == len(r["counts"])
+            groups = [g for g, n in zip(r["groups"], r["sizes"], strict=True) for _ in range(n)]
+            for g, n in zip(groups, r["counts"], strict=True):
+                times[r["kind"], g] += n >> 1
+                different[r["kind"], g] += n > 0
+    for g in range(90):
+        mine = [i for i in range(300) if i % 90 == g]
+        training = sum(i % 3 > 0 for i in mine)
+        assert times[pitman_yor.WORDS, g] == times[pitman_yor.PAIRS, g] == 6 * training
+        words = {w for i in mine for w in ("a", f"b{i % 7}", f"c{i}", "")}
+        assert different[pitman_yor.WORDS, g] == len(words)
+
+
 def test_scores_of_nulls_and_nothing(spark):
     assert pitman_yor.score(frame(spark, [])).count() == 0
     rows = pitman_yor.score(frame(spark, [(None, None), (None, "a b"), (7, "a b"), (7, "a b")])).collect()
