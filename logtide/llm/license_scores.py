@@ -1,9 +1,7 @@
-"""Cosines of the units of whole texts with licence templates, in arrays of bytes and terms.
+"""Licence templates as sparse TF-IDF vectors, and what a text must have to resemble one.
 
-A step takes some megabytes of texts, finds the terms of all at once and names them by
-64-bit hashes. Units are ranges of terms, so none is copied before it is known that it may
-reach its threshold: running sums of the templates' squared weights bound every range from
-above. Only ranges that pass are counted term by term.
+Only the fixed list of templates is looked at here, on the driver; texts are compared with
+them by joins and sums of rows (`licenses`).
 """
 
 from __future__ import annotations
@@ -11,28 +9,20 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
-from logtide.llm.seeds import STEP, is_separator, word_hashes
-from logtide.llm.shared import column_bytes, plain_batch, steps
+from logtide.llm.seeds import word_hashes
 
-#: Terms that are counted at a time; a longer unit is counted alone.
-CHUNK = 1_000_000
 TAG = re.compile(rb"(?i)SPDX-License-Identifier:[\x20\t]*\(?")
 TAG_START = b"spdx-license-identifier-"
 
 _BYTES = np.arange(256, dtype=np.uint8)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 _PLAIN = ((_BYTES >= 97) & (_BYTES <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
-_WORDY = ((_LOWER >= 97) & (_LOWER <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57)) | (_BYTES == 95)
 _JOINS = (_BYTES == ord(".")) | (_BYTES == ord("-"))
-_SPACE = (_BYTES == 32) | (_BYTES == 9)
-_EMPTY = _SPACE | (_BYTES == 10) | (_BYTES == 13)
 
 
 def term_bounds(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,23 +67,27 @@ class Lexicon:
         self.norms = np.sqrt((self.weights**2).sum(axis=1))
         self.names, self.common = [names[int(h)] for h in self.hashes], set(common)
 
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of the terms in `hashes`; -1 for others."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-    def anchors(self, threshold: float, spent: float) -> tuple[np.ndarray, np.ndarray]:
+    def anchors(
+        self, threshold: float, spent: float, often: Mapping[str, int] | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(parts, least): of a template's terms a part of `least` must be in whatever resembles it.
 
         A cosine is at most the root of the share of a template's squared weight that its
         shared terms have. The most usual terms with under `spent` of the threshold's square
-        are left out. Nothing that reaches the threshold is lost, whatever terms are usual.
+        are left out, by `often` (texts that have a term) if that is known. Nothing that
+        reaches the threshold is lost, whatever terms are usual.
         """
         parts = (self.weights / self.norms[:, None]) ** 2
         # A little less, as sums of doubles are not exact.
         square = threshold**2 - 1e-6
         least = np.full(len(parts), square)
-        usual = sorted(range(len(self.names)), key=lambda i: (self.names[i] not in self.common, self.idf[i], self.names[i]))
+        often = often or {}
+
+        def rank(i: int) -> tuple:
+            name = self.names[i]
+            return -often.get(name, 0), name not in self.common, self.idf[i], name
+
+        usual = sorted(range(len(self.names)), key=rank)
         for row, part in enumerate(parts):
             summed = 0.0
             for i in usual:
@@ -117,240 +111,3 @@ def terms_of(data: np.ndarray, offsets: np.ndarray) -> Terms:
     low = _LOWER[data]
     starts, ends = term_bounds(low)
     return Terms(word_hashes(low, starts, ends), starts, np.searchsorted(starts, offsets))
-
-
-def lined(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes with a line feed after each text, and the texts' places in them."""
-    texts = len(offsets) - 1
-    out = np.full(len(data) + texts, 10, np.uint8)
-    out[np.arange(len(data)) + np.repeat(np.arange(texts), np.diff(offsets))] = data
-    return out, offsets + np.arange(texts + 1)
-
-
-def cosines(
-    lexicon: Lexicon, hashes: np.ndarray, ids: np.ndarray, first: np.ndarray, last: np.ndarray, own: np.ndarray | None
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(unit, template, score) of ranges of terms with all templates, or each with its `own`."""
-    before = np.concatenate(([0], np.cumsum(last - first)))
-    for a, b in steps(before, CHUNK):
-        sizes = last[a:b] - first[a:b]
-        unit = np.repeat(np.arange(b - a), sizes)
-        place = np.arange(len(unit)) + np.repeat(first[a:b] - (before[a:b] - before[a]), sizes)
-        found = hashes[place]
-        order = np.lexsort((found, unit))
-        unit, found, known = unit[order], found[order], ids[place][order]
-        new = np.flatnonzero(np.concatenate(([True], (unit[1:] != unit[:-1]) | (found[1:] != found[:-1]))))
-        if not len(unit):
-            continue
-        times = np.diff(np.append(new, len(unit))).astype(np.float64)
-        unit, known = unit[new], known[new]
-        weight = (np.log(times) + 1.0 if lexicon.damp else times) * np.where(known >= 0, lexicon.idf[known], lexicon.rare)
-        norm = np.sqrt(np.bincount(unit, weight * weight, minlength=b - a))
-        norm[norm == 0] = 1.0
-        some = known >= 0
-        unit, known, weight = unit[some], known[some], weight[some]
-        if own is not None:
-            mine = own[a:b]
-            dot = np.bincount(unit, weight * lexicon.weights[mine[unit], known], minlength=b - a)
-            yield np.arange(a, b), mine, np.round(dot / (lexicon.norms[mine] * norm), 6)
-            continue
-        for template in range(len(lexicon.licenses)):
-            dot = np.bincount(unit, weight * lexicon.weights[template, known], minlength=b - a)
-            yield np.arange(a, b), np.full(b - a, template), np.round(dot / (lexicon.norms[template] * norm), 6)
-
-
-def windows(
-    lexicon: Lexicon, anchors: tuple[np.ndarray, np.ndarray], ids: np.ndarray, bounds: np.ndarray, skip: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, template, first term, last term) of windows with enough of a template's anchors.
-
-    Windows have the template's size and start at every eighth of it. Each is found from the
-    first anchor in it. Texts marked in `skip` have none.
-    """
-    places = np.flatnonzero(ids >= 0)
-    text = np.searchsorted(bounds, places, "right") - 1
-    places, text = places[~skip[text]], text[~skip[text]]
-    known = ids[places]
-    out = []
-    for template, (parts, least) in enumerate(zip(*anchors, strict=True)):
-        size = int(lexicon.sizes[template])
-        step = max(size // 8, 1)
-        part = parts[known]
-        held = np.flatnonzero(part > 0)
-        hits, total = places[held], np.concatenate(([0.0], np.cumsum(part[held])))
-        may = total[np.searchsorted(hits, hits + size)] - total[:-1] >= least - 1e-9
-        at = np.flatnonzero(may)
-        if not len(at):
-            continue
-        own = text[held[at]]
-        begin, end = bounds[own], bounds[own + 1]
-        previous = np.where(at > 0, hits[at - 1], -1)
-        low = np.maximum(np.maximum(hits[at] - size + 1, previous + 1), begin) - begin
-        low, high = -(-low // step), (hits[at] - begin) // step
-        many = np.maximum(high - low + 1, 0)
-        own, begin, end = (np.repeat(x, many) for x in (own, begin, end))
-        turn = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
-        first = begin + turn * step
-        last = np.minimum(first + size, end)
-        enough = total[np.searchsorted(hits, last)] - total[np.searchsorted(hits, first)] >= least - 1e-9
-        out.append((own[enough], np.full(enough.sum(), template), first[enough], last[enough]))
-    if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-class Lines(NamedTuple):
-    """Bounds of lines in bytes and the text of each."""
-
-    starts: np.ndarray
-    ends: np.ndarray
-    text: np.ndarray
-
-    def runs(self, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first, last) of two and more marked lines in a row within a text."""
-        new = np.concatenate(([True], self.text[1:] != self.text[:-1]))
-        begins = flag & (new | ~np.concatenate(([False], flag[:-1])))
-        stops = flag & np.append(new[1:] | ~flag[1:], True)
-        first, last = np.flatnonzero(begins), np.flatnonzero(stops)
-        return first[last > first], last[last > first]
-
-
-def lines_of(data: np.ndarray, offsets: np.ndarray) -> Lines:
-    """Lines of texts that each end with a line feed."""
-    ends = np.flatnonzero(data == 10)
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    return Lines(starts, ends, np.searchsorted(offsets, starts, "right") - 1)
-
-
-def comments(data: np.ndarray, lines: Lines) -> np.ndarray:
-    """Whether a line starts like one that continues a comment."""
-    # The line feed ends the blanks of an empty line.
-    solid = np.flatnonzero(~_SPACE[data])
-    first = solid[np.searchsorted(solid, lines.starts)]
-    padded = np.concatenate((data, np.zeros(4, np.uint8)))
-    chars = [padded[first + i] for i in range(4)]
-
-    def says(text: str) -> np.ndarray:
-        return np.logical_and.reduce([c == ord(x) for c, x in zip(chars, text)])
-
-    marks = [says(x) for x in ("#", "//", "/*", "*", "--", ";", "<!--", "%")]
-    return np.logical_or.reduce([*marks, says("REM") & ~_WORDY[chars[3]]])
-
-
-def units_of(data: np.ndarray, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """(first, last) line of lines, runs of comment lines and paragraphs."""
-    solid = np.concatenate(([0], np.cumsum(~_EMPTY[data])))
-    filled = solid[lines.ends] > solid[lines.starts]
-    alone = np.flatnonzero(filled)
-    ranges = [(alone, alone), lines.runs(comments(data, lines)), lines.runs(filled)]
-    return tuple(np.concatenate(x) for x in zip(*ranges, strict=True))
-
-
-class Scorer:
-    """Finds the best unit of every text of a batch; sent to the tasks."""
-
-    def __init__(
-        self, said: Sequence[tuple[str, str]], blocks: Sequence[tuple[str, str]], common: Sequence[str],
-        speaks: str, threshold: float, window_threshold: float,
-    ):
-        self.lone, self.speaks = Lexicon(said, common, False), speaks
-        self.kinds = [self.lone] + ([Lexicon(blocks, common, True)] if blocks else [])
-        self.threshold, self.window_threshold = threshold, window_threshold
-        self.marks = [x.anchors(window_threshold, 0.8) for x in self.kinds]
-        self.line_marks = [self.lone.anchors(x, 0.8) for x in (threshold, window_threshold)]
-        self.names = sorted({x for kind in self.kinds for x in kind.licenses})
-
-    def best(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """From path and text: path, license, score, kind, share of texts with a unit at its threshold."""
-        for batch in batches:
-            text = batch.column(1)
-            # The only other characters whose lower case has an ASCII letter.
-            for upper, lower in (("\u212a", "k"), ("\u0130", "i\u0307")):
-                text = pc.replace_substring(text, upper, lower)
-            data, offsets = column_bytes(text)
-            speaking = pc.match_substring_regex(text, self.speaks).to_numpy(zero_copy_only=False)
-            tagged = pc.match_substring(text, "spdx-license-identifier:", ignore_case=True).to_numpy(zero_copy_only=False)
-            for first, last in steps(offsets, 2 * STEP):
-                found = self._step(
-                    data[offsets[first] : offsets[last]],
-                    offsets[first : last + 1] - offsets[first],
-                    speaking[first:last],
-                    tagged[first:last],
-                )
-                row, name, score, kind, share = found
-                order = np.lexsort((-share, kind, name, -score, row))
-                order = order[np.concatenate(([True], np.diff(row[order]) > 0))[: len(order)]]
-                if len(order):
-                    yield plain_batch(
-                        {
-                            "path": batch.column(0).take(pa.array(row[order] + first)),
-                            "license": pa.array([self.names[i] for i in name[order]], pa.string()),
-                            "score": score[order],
-                            "kind": kind[order].astype(np.int32),
-                            "share": share[order],
-                        }
-                    )
-
-    def _step(self, data: np.ndarray, offsets: np.ndarray, speaking: np.ndarray, tagged: np.ndarray):
-        data, offsets = lined(data, offsets)
-        terms = terms_of(data, offsets)
-        found = [self._units(data, offsets, terms, speaking)]
-        for kind, lexicon in enumerate(self.kinds, 1):
-            found.append(self._windows(kind, lexicon, terms, tagged if lexicon.tags else np.zeros(len(tagged), bool)))
-            if lexicon.tags and tagged.any():
-                rows = np.flatnonzero(tagged)
-                texts = [TAG.sub(TAG_START, data[offsets[i] : offsets[i + 1]].tobytes()) for i in rows]
-                bounds = np.concatenate(([0], np.cumsum([len(x) for x in texts])))
-                own = terms_of(np.frombuffer(b"".join(texts), np.uint8), bounds)
-                text, *rest = self._windows(kind, lexicon, own, np.zeros(len(rows), bool))
-                found.append((rows[text], *rest))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-    def _rows(self, kind, lexicon, text, template, score, said, words):
-        name = np.array([self.names.index(x) for x in lexicon.licenses], np.int64)
-        share = 100 * said // np.maximum(words, 1)
-        return text, name[template], score, np.full(len(text), kind), share.astype(np.int64)
-
-    def _windows(self, kind: int, lexicon: Lexicon, terms: Terms, skip: np.ndarray):
-        ids = lexicon.ids(terms.hashes)
-        text, template, first, last = windows(lexicon, self.marks[kind - 1], ids, terms.bounds, skip)
-        keep, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for unit, _, score in cosines(lexicon, terms.hashes, ids, first, last, template):
-            close = score >= self.window_threshold
-            keep.append(unit[close])
-            scores.append(score[close])
-        at = np.concatenate(keep)
-        words = np.diff(terms.bounds)[text[at]]
-        return self._rows(kind, lexicon, text[at], template[at], np.concatenate(scores), (last - first)[at], words)
-
-    def _units(self, data: np.ndarray, offsets: np.ndarray, terms: Terms, speaking: np.ndarray):
-        lines = lines_of(data, offsets)
-        said = np.zeros(len(lines.starts), bool)
-        for i in np.flatnonzero(speaking):
-            for hit in re.finditer(self.speaks.encode(), data[offsets[i] : offsets[i + 1]].tobytes()):
-                said[np.searchsorted(lines.ends, offsets[i] + hit.start())] = True
-        a, b = units_of(data, lines)
-        told = np.concatenate(([0], np.cumsum(said)))
-        speaks = told[b + 1] > told[a]
-        first, last = np.searchsorted(terms.starts, lines.starts[a]), np.searchsorted(terms.starts, lines.ends[b])
-        ids = self.lone.ids(terms.hashes)
-        places = np.flatnonzero(ids >= 0)
-        low, high = np.searchsorted(places, first), np.searchsorted(places, last)
-        may = np.zeros(len(a), bool)
-        for (parts, least), mine in zip(self.line_marks, (speaks, ~speaks), strict=True):
-            for part, need in zip(parts, least, strict=True):
-                total = np.concatenate(([0.0], np.cumsum(part[ids[places]])))
-                may |= mine & (total[high] - total[low] >= need - 1e-9)
-        a, b, first, last, speaks = (x[may] for x in (a, b, first, last, speaks))
-        keep, names, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-        for unit, template, score in cosines(self.lone, terms.hashes, ids, first, last, None):
-            close = score >= np.where(speaks[unit], self.threshold, self.window_threshold)
-            keep.append(unit[close])
-            names.append(template[close])
-            scores.append(score[close])
-        at = np.concatenate(keep)
-        starts, _ = _runs(~is_separator(data))
-        n_said = np.searchsorted(starts, lines.ends[b[at]]) - np.searchsorted(starts, lines.starts[a[at]])
-        text = lines.text[a[at]]
-        n_words = np.diff(np.searchsorted(starts, offsets))[text]
-        return self._rows(0, self.lone, text, np.concatenate(names), np.concatenate(scores), n_said, n_words)

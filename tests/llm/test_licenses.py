@@ -117,3 +117,35 @@ def test_anchors_leave_a_part_that_is_needed():
     lexicon = Lexicon(BLOCKS, licenses.COMMON, True)
     parts, least = lexicon.anchors(licenses.WINDOW_THRESHOLD, 0.8)
     assert (least > 0).all() and (parts.sum(axis=1) >= least).all()
+
+
+def test_texts_are_compared_without_python_on_the_executors(spark, monkeypatch):
+    plans, stored = [], licenses.stored
+
+    def seen(table, *rest):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return stored(table, *rest)
+
+    monkeypatch.setattr(licenses, "stored", seen)
+    table = spark.createDataFrame([("a", "Released under the MIT License"), ("b", None)], "path string, text string")
+    result = licenses.scan(table)
+    assert [r.own_license for r in result.orderBy("path").collect()] == ["MIT", None]
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 2
+    assert not any(word in plan for plan in plans for word in ("InArrow", "Python", "InPandas"))
+
+
+def test_a_term_of_many_parts_and_many_lines_of_one_unit(spark):
+    said = "# " + TEMPLATES["Apache-2.0"]
+    rows = [("parts", "1." * 50_000 + "\n" + said), ("lines", "# x\n" * 20_000 + "\n" + said), ("blanks", " \n" * 20_000 + said)]
+    found = licenses.statements(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {r.path: r.license for r in found} == dict.fromkeys(("parts", "lines", "blanks"), "Apache-2.0")
+
+
+def test_anchors_are_the_rarest_terms_of_the_texts():
+    lexicon = Lexicon(list(TEMPLATES.items()), licenses.COMMON, False)
+    row = lexicon.licenses.index("MIT")
+    parts, least = lexicon.anchors(0.7, 0.8, {"mit": 100, "hereby": 90})
+    left = {n for n, x in zip(lexicon.names, parts[row], strict=True) if x > 0}
+    assert "mit" not in left and "hereby" not in left and "granted" in left
+    assert least[row] > 0 and parts[row].sum() >= least[row]
