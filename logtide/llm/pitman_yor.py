@@ -12,22 +12,24 @@ Words are named by 64-bit hashes; in the model a word has 40 bits of it and a co
 so that a pair is one number and rare contexts may share a restaurant. Documents are
 dealt into groups by a hash. A group asks for the words and pairs in it, the counts of
 all groups meet by key, and the answers come back to the group, where its texts are
-scored: neither the texts' words nor the model are joined word by word.
+scored: neither the texts' words nor the model are joined word by word. Groups repeat
+the draws of their pairs; the tables of frequent pairs, many draws each, are told.
+Between tasks the numbers of a row are bytes, since arrays cost Spark time per number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.seeds import STEP, mixed, word_bounds, word_hashes
 from logtide.llm.shared import column_bytes, discard, plain_batch, steps, stored, whole_text
-from logtide.llm.simhash import lower_ascii
 
 CHAINS = 2
 SWEEPS = 2
@@ -38,10 +40,18 @@ WORD_BITS, CONTEXT_BITS = np.uint64(40), np.uint64(24)
 TURNS = 2
 #: Bytes of text a group has on average; a task holds one group with its answers.
 GROUP_BYTES = 8_000_000
-WORDS, PAIRS, TYPES, REPEATED, ALONE_IN, ALONE_OF, TOTALS = range(7)
-ROWS = "kind int, bucket int, grp int, keys array<bigint>, counts array<bigint>"
+WORDS, PAIRS, TYPES, REPEATED, ALONE_IN, ALONE_OF, TOTALS, FREQUENT = range(8)
+#: Customers from which on a pair's tables are told to the groups, as drawing them takes many steps.
+FREQUENT_FROM = 1000
+#: Rows seated in one vectorised step, and customers of those that are seated together later on.
+SEATED_ROWS, LATE_FROM = 1 << 16, 64
+#: Rows below which draws of many steps are made at once, and the steps.
+FEW_ROWS, AHEAD = 2000, 64
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+ROWS = "kind int, bucket int, grp int, keys binary, counts binary"
 #: What a step asks of a bucket is one row, however many groups there are: the keys of one group after the other.
-ASKED = "kind int, bucket int, groups array<int>, sizes array<int>, keys array<bigint>, counts array<int>"
+ASKED = "kind int, bucket int, groups binary, sizes binary, keys binary, counts binary"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -50,14 +60,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """doc_id, held, grp and the lowered text; there are as many groups as the amount of text asks for.
+    """doc_id, held, grp and the text; there are as many groups as the amount of text asks for.
 
     Every group meets every bucket of keys, so their number must not follow the shuffle
     partitions: of few texts in many partitions, groups would have a key a bucket.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // GROUP_BYTES))
-    text = lower_ascii(whole_text())
+    text = whole_text()
     table = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id")).alias("held"),
@@ -69,7 +79,8 @@ def prepared(docs: DataFrame) -> DataFrame:
 
 
 def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, contexts, bounds of the texts): words and one end a text."""
+    """(tokens, contexts, bounds of the texts): words, A-Z lowered, and one end a text."""
+    data = LOWER[data]
     starts, ends, bounds = word_bounds(data, offsets)
     words = word_hashes(data, starts, ends)
     texts = len(offsets) - 1
@@ -87,6 +98,69 @@ def pair_keys(contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return (contexts >> WORD_BITS << WORD_BITS) | (tokens >> CONTEXT_BITS)
 
 
+def _as_bytes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns of lists of numbers as the bytes of these, which are not copied."""
+    for batch in batches:
+        columns = {}
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if pa.types.is_list(column.type):
+                width = column.type.value_type.bit_width // 8
+                offsets = column.offsets.to_numpy() * np.int32(width)
+                numbers = column.values.to_numpy()
+                column = pa.Array.from_buffers(
+                    pa.binary(), len(column), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(numbers)]
+                )
+            columns[name] = column
+        yield plain_batch(columns)
+
+
+def _numbers(column: pa.Array, kind: type = np.int64) -> np.ndarray:
+    """All numbers of a column of bytes, one row after the other."""
+    return column_bytes(column)[0].view(kind)
+
+
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Numbers from zero on, each in as few bytes as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()))) if numbers.size else numbers
+
+
+def _wide(keys: pa.Array, numbers: pa.Array, width: int = 1) -> np.ndarray:
+    """What `_narrow` made, in rows with `width` numbers a key."""
+    data, ends = column_bytes(numbers)
+    sizes = np.diff(ends) * 8 // np.maximum(np.diff(column_bytes(keys)[1]) * width, 1)
+    edges = np.r_[0, np.flatnonzero(np.diff(sizes)) + 1, len(sizes)]
+    out = [np.zeros(0, np.int64)]
+    for first, last in zip(edges[:-1], edges[1:], strict=True):
+        if first < last and sizes[first]:
+            out.append(data[ends[first] : ends[last]].view(f"u{sizes[first]}").astype(np.int64))
+    return np.concatenate(out)
+
+
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of grp, keys and counts as rows of grp, key and n."""
+    for batch in batches:
+        _, offsets = column_bytes(batch.column(1))
+        for first, last in steps(offsets, STEP):
+            part = batch.slice(first, last - first)
+            sizes = np.diff(offsets[first : last + 1]) // 8
+            grp = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
+            yield plain_batch({"grp": grp, "key": _numbers(part.column(1)), "n": _wide(part.column(1), part.column(2))})
+
+
+def _gathered(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches joined to such of about so many rows."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Per bucket the different words and pairs of each group in a step.
 
@@ -139,7 +213,7 @@ def _asked_rows(kind: int, present: np.ndarray, place: np.ndarray, keys: np.ndar
             "groups": pa.ListArray.from_arrays(groups, pa.array(present[place[runs] % len(present)].astype(np.int32))),
             "sizes": pa.ListArray.from_arrays(groups, pa.array(sizes)),
             "keys": pa.ListArray.from_arrays(bounds, pa.array(keys.view(np.int64))),
-            "counts": pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32))),
+            "counts": pa.ListArray.from_arrays(bounds, pa.array(_narrow(counts))),
         }
     )
 
@@ -155,7 +229,7 @@ def _array_rows(kind: int, place: np.ndarray, keys: np.ndarray, counts: np.ndarr
             "bucket": (own % buckets).astype(np.int32),
             "grp": (own // buckets).astype(np.int32),
             "keys": pa.ListArray.from_arrays(bounds, pa.array(keys.view(np.int64))),
-            "counts": pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int64))),
+            "counts": pa.ListArray.from_arrays(bounds, pa.array(_narrow(counts))),
         }
     )
 
@@ -182,10 +256,9 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _met_bucket(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wanted = rows[0].column(0)[0].as_py()
-    grp, sizes, keys, counts = (
-        np.concatenate([b.column(i).flatten().to_numpy(zero_copy_only=False) for b in rows]) for i in range(2, 6)
-    )
-    keys, counts = keys.view(np.uint64), counts.astype(np.int64)
+    kinds = (np.int32, np.int32, np.uint64)
+    grp, sizes, keys = (np.concatenate([_numbers(b.column(i), kind) for b in rows]) for i, kind in enumerate(kinds, 2))
+    counts = np.concatenate([_wide(b.column(4), b.column(5)) for b in rows])
     order = np.argsort(keys)
     k, c, g = keys[order], counts[order], np.repeat(grp, sizes)[order].astype(np.int64)
     new = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
@@ -210,7 +283,12 @@ def _met_bucket(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.argsort(g, kind="stable")
     k, g, spread = k[order], g[order], spread[order]
     once = np.r_[True, (k[1:] != k[:-1]) | (g[1:] != g[:-1])] if len(k) else np.zeros(0, bool)
-    yield _array_rows(wanted, g[once], k[once], spread[once], 1)
+    k, g, spread = k[once], g[once], spread[once]
+    if wanted == PAIRS:
+        often = spread >= FREQUENT_FROM
+        yield _array_rows(FREQUENT, g[often], k[often], spread[often], 1)
+        k, g, spread = k[~often], g[~often], spread[~often]
+    yield _array_rows(wanted, g, k, spread, 1)
     yield _array_rows(TOTALS, np.zeros(4, np.int64), np.arange(4, dtype=np.uint64), totals, 1)
 
 
@@ -233,15 +311,20 @@ def seat(
     seen, own = np.ones(len(rows)), np.ones(len(rows))
     salt, step = (chain + 1) * 0xD1342543DE82EF95, 0
     while len(rows):
-        opens = (STRENGTH + discount * (others + own)) * p
-        weight = opens + seen - discount * own
+        # Of few rows the draws of many steps are made at once; rows that are done stay as they are.
+        ahead = AHEAD if len(rows) < FEW_ROWS else 1
+        draws = _draws(key, np.uint64((salt + step) % (1 << 64)) + np.arange(2 * ahead, dtype=np.uint64)[:, None])
+        waits = -np.log1p(-draws[0::2])
         with np.errstate(divide="ignore"):
-            passed = np.floor(-np.log1p(-_draws(key, salt + step)) / np.log1p(opens / (weight - opens)))
-        reach = np.minimum(2 * seen, left)
-        might = seen + passed < reach
-        own += might & (_draws(key, salt + step + 1) * (weight + passed) < weight)
-        seen = np.where(might, seen + passed + 1, reach)
-        step += 2
+            for wait, draw in zip(waits, draws[1::2], strict=True):
+                opens = (STRENGTH + discount * (others + own)) * p
+                weight = opens + seen - discount * own
+                passed = np.floor(wait / np.log1p(opens / (weight - opens)))
+                reach = np.minimum(2 * seen, left)
+                might = seen + passed < reach
+                own += might & (draw * (weight + passed) < weight)
+                seen = np.where(might, seen + passed + 1, reach)
+        step += 2 * ahead
         done = seen >= left
         if done.any():
             out[rows[done]] = own[done].astype(np.int64)
@@ -249,22 +332,33 @@ def seat(
     return out
 
 
-def _draws(keys: np.ndarray, salt: int) -> np.ndarray:
-    """One number between zero and one, never either, per key."""
-    return ((mixed(keys ^ np.uint64(salt % (1 << 64))) >> np.uint64(12)) + 0.5) / float(1 << 52)
+def _draws(keys: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """One number between zero and one, never either, per salt and key."""
+    return ((mixed(keys ^ salts) >> np.uint64(12)) + 0.5) / float(1 << 52)
 
 
 def _sample(rows: DataFrame, discount: float, sweep: int) -> DataFrame:
     """`rows` (pair, c, p0, p1, o0, o1) with new tables t0, t1 of both chains."""
 
+    def drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pair, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        tables = {}
+        for chain in range(CHAINS):
+            p, o = (batch.column(2 + i + chain).to_numpy(zero_copy_only=False) for i in (0, CHAINS))
+            tables[f"t{chain}"] = seat(pair.view(np.uint64), c, p, o, discount, 16 * sweep + chain)
+        return plain_batch({"pair": batch.column(0), "c": batch.column(1), **tables})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pair, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            drawn = {}
-            for chain in range(CHAINS):
-                p, o = (batch.column(2 + i + chain).to_numpy(zero_copy_only=False) for i in (0, CHAINS))
-                drawn[f"t{chain}"] = seat(pair.view(np.uint64), c, p, o, discount, 16 * sweep + chain)
-            yield plain_batch({"pair": batch.column(0), "c": batch.column(1), **drawn})
+        # A step lasts as long as its most frequent pair, so frequent pairs are seated together.
+        late: list[pa.RecordBatch] = []
+        for batch in _gathered(batches, SEATED_ROWS):
+            often = pc.greater_equal(batch.column(1), LATE_FROM)
+            late.append(batch.filter(often))
+            yield drawn(batch.filter(pc.invert(often)))
+            if sum(x.num_rows for x in late) >= SEATED_ROWS:
+                yield from map(drawn, _gathered(late, SEATED_ROWS))
+                late = []
+        yield from map(drawn, _gathered(late, SEATED_ROWS))
 
     names = ["pair", "c"] + [f"{x}{i}" for x in "po" for i in range(CHAINS)]
     shape = "pair long, c long, " + ", ".join(f"t{i} long" for i in range(CHAINS))
@@ -278,7 +372,7 @@ def _seat_words(counts: DataFrame, discount: float, uniform: float, types: int,
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches, SEATED_ROWS):
             word = batch.column(0).to_numpy(zero_copy_only=False)
             chance, others = np.full(len(word), uniform), np.full(len(word), max(types - 1, 0))
             drawn = {
@@ -326,10 +420,8 @@ class Parent(NamedTuple):
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of grp, kind, key, n and numbers as rows of arrays, one per group and batch."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    """Rows of grp, kind, key, n and numbers as rows of arrays, one per group and step."""
+    for batch in _gathered(batches, SEATED_ROWS):
         columns = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
         order = np.argsort(columns[0], kind="stable")
         group, kind, key, n = (x[order] for x in columns[:4])
@@ -343,13 +435,13 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "grp": group[starts],
                 "kind": kind[starts],
                 "keys": pa.ListArray.from_arrays(bounds, pa.array(key)),
-                "counts": pa.ListArray.from_arrays(bounds, pa.array(n)),
-                "numbers": pa.ListArray.from_arrays(wide, pa.array(numbers.ravel())),
+                "counts": pa.ListArray.from_arrays(bounds, pa.array(_narrow(n))),
+                "numbers": pa.ListArray.from_arrays(wide, pa.array(_narrow(numbers.ravel()))),
             }
         )
 
 
-PACKED = "grp int, kind int, keys array<bigint>, counts array<bigint>, numbers array<bigint>"
+PACKED = "grp int, kind int, keys binary, counts binary, numbers binary"
 
 
 class Stage(NamedTuple):
@@ -366,9 +458,9 @@ class Model:
     def __init__(self, docs: DataFrame):
         # As much text a bucket as a group has, whatever the shuffle partitions.
         buckets = docs.groups
-        asked = docs.select("doc_id", "held", "grp", "text").mapInArrow(lambda x: _asked(x, buckets), ASKED)
+        asked = docs.select("doc_id", "held", "grp", "text").mapInArrow(lambda x: _as_bytes(_asked(x, buckets)), ASKED)
         dealt = asked.repartition(2 * buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket")
-        met = dealt.mapInArrow(_met, ROWS)
+        met = dealt.mapInArrow(lambda x: _as_bytes(_met(x)), ROWS)
         self.met = stored(met, "counts", "kind")
         totals = {r["key"]: r["n"] for r in self.rows(TOTALS).groupBy("key").agg(F.sum("n").alias("n")).collect()}
         self.tokens, self.types, ones, twos = (totals.get(i) or 0 for i in range(4))
@@ -377,12 +469,12 @@ class Model:
         self._sweep()
 
     def rows(self, kind: int) -> DataFrame:
-        """key, n of one kind."""
-        pairs = F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n")))
-        return self.met.filter(F.col("kind") == kind).select(pairs)
+        """grp, key, n of one kind."""
+        rows = self.met.filter(F.col("kind") == kind).select("grp", "keys", "counts")
+        return rows.mapInArrow(_one_by_one, "grp int, key bigint, n bigint")
 
     def _sweep(self) -> None:
-        repeated = stored(self.rows(REPEATED).withColumnsRenamed({"key": "pair", "n": "c"}), "pairs")
+        repeated = stored(self.rows(REPEATED).select(F.col("key").alias("pair"), F.col("n").alias("c")), "pairs")
         fixed = tuple(
             stored(self.rows(kind).groupBy("key").agg(F.sum("n").alias("n")), "alone") for kind in (ALONE_IN, ALONE_OF)
         )
@@ -436,6 +528,7 @@ class Model:
         Words have customers and tables in the parent, of both chains, and tables in the
         word's own restaurant, before and after the last sweep, then its customers. Seats
         of pairs follow from that, as their draws depend on nothing else: see `seats`.
+        Frequent pairs come with their tables in both chains.
         """
         own = F.shiftrightunsigned("key", int(CONTEXT_BITS)).alias("word")
         context = F.shiftrightunsigned("key", int(WORD_BITS)).alias("context")
@@ -456,17 +549,20 @@ class Model:
         names.append("customers")
         # One row per known word, so that what the groups asked is joined once.
         table = stored(table.select("key", *names), "table")
-        asked = F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n")))
-        words = self.met.filter(F.col("kind") == WORDS).select("grp", "kind", asked).join(table, "key", "left")
+        words = self.rows(WORDS).join(table, "key", "left")
         zero = F.lit(0).cast("long")
-        words = words.select("grp", "kind", "key", "n", *[F.coalesce(x, zero).alias(x) for x in names])
-        told = stored(words.mapInArrow(_packed, PACKED), "words")
+        words = words.select("grp", F.lit(WORDS).alias("kind"), "key", "n", *[F.coalesce(x, zero).alias(x) for x in names])
+        told = stored(words.mapInArrow(lambda x: _as_bytes(_packed(x)), PACKED), "words")
+        tables = [f"t{i}" for i in range(CHAINS)]
+        seated = self.seated.filter(F.col("c") >= FREQUENT_FROM).select(F.col("pair").alias("key"), *tables)
+        frequent = self.rows(FREQUENT).join(seated, "key").select("grp", F.lit(FREQUENT).alias("kind"), "key", "n", *tables)
+        frequent = stored(frequent.mapInArrow(lambda x: _as_bytes(_packed(x)), PACKED), "frequent")
         discard(table, *self.before[:2], *self.after[:2])
-        for kind in (WORDS, TYPES, REPEATED, ALONE_IN, ALONE_OF):
+        for kind in (WORDS, TYPES, REPEATED, ALONE_IN, ALONE_OF, FREQUENT):
             discard(self.met, part=f"kind={kind}")
-        none = F.array().cast("array<bigint>").alias("numbers")
+        none = F.lit(bytearray()).alias("numbers")
         pairs = self.met.filter(F.col("kind") == PAIRS).select("grp", "kind", "keys", "counts", none)
-        return told.unionByName(pairs)
+        return told.unionByName(pairs).unionByName(frequent)
 
 
 class Numbers:
@@ -494,7 +590,9 @@ class Numbers:
         for i in range(CHAINS):
             chance = parents[i].chance(self.before[0][word, i], self.before[1][word, i])
             tables = np.maximum.reduceat(self.before[2][:, i], starts)[room]
-            found.append(seat(pairs, counts, chance, tables - 1, discount, 16 * (SWEEPS - 1) + i))
+            rows = (pairs, counts, chance, tables - 1)
+            parts = [[x[at : at + SEATED_ROWS] for x in rows] for at in range(0, len(pairs), SEATED_ROWS)]
+            found.append(np.concatenate([seat(*part, discount, 16 * (SWEEPS - 1) + i) for part in parts]))
         return found
 
 
@@ -520,6 +618,11 @@ def score(docs: DataFrame) -> DataFrame:
             return pa.Table.from_batches([], schema=RESULT)
         word_keys, counts = told.keys, told.counts
         seats = told.seats(pairs, customers, discount, before)
+        often, more, tables = _answer(right, FREQUENT, CHAINS)
+        pairs, customers = np.r_[pairs, often], np.r_[customers, more]
+        order = np.argsort(pairs, kind="stable")
+        pairs, customers = pairs[order], customers[order]
+        seats = [np.r_[x, tables[:, i]][order] for i, x in enumerate(seats)]
         single = [after[i].chance(told.after[0][:, i], told.after[1][:, i]) for i in range(CHAINS)]
         whole = STRENGTH + told.customers
         weight = [(STRENGTH + discount * told.after[2][:, i]) / whole for i in range(CHAINS)]
@@ -587,11 +690,10 @@ def _answer(right: pa.Table, kind: int, width: int) -> tuple[np.ndarray, np.ndar
     rows = right.filter(pa.array(right.column("kind").to_numpy() == kind))
     if not rows.num_rows:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, width), np.int64)
-    keys, counts, numbers = (
-        np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in rows.column(c).chunks])
-        for c in ("keys", "counts", "numbers")
-    )
-    keys = keys.view(np.uint64)
+    chunks = [(x.column("keys"), x.column("counts"), x.column("numbers")) for x in rows.to_batches()]
+    keys = np.concatenate([_numbers(x, np.uint64) for x, _, _ in chunks])
+    counts = np.concatenate([_wide(x, y) for x, y, _ in chunks])
+    numbers = np.concatenate([_wide(x, z, width) for x, _, z in chunks]) if width else np.zeros(0, np.int64)
     order = np.argsort(keys)
     return keys[order], counts[order], numbers.reshape(len(keys), width)[order]
 

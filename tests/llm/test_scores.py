@@ -237,6 +237,47 @@ def test_groups_repeat_the_draws_of_the_last_sweep(spark):
             assert (one, two) == (seated[pair] if n > 1 else (1, 1))
 
 
+def test_groups_are_told_the_tables_of_frequent_pairs(spark):
+    docs = pitman_yor.prepared(frame(spark, [(i, "A b " * 100 + f"a c{i % 9}") for i in range(40)]))
+    model = pitman_yor.Model(docs)
+    seated = {r.pair: r for r in model.seated.collect()}
+    frequent = {pair for pair, r in seated.items() if r.c >= pitman_yor.FREQUENT_FROM}
+    assert len(frequent) == 2
+    rows, told = model.answers().toArrow(), 0
+    groups = rows.column("grp").to_pylist()
+    for group in set(groups):
+        own = rows.filter([x == group for x in groups])
+        drawn, counts, _ = pitman_yor._answer(own, pitman_yor.PAIRS, 0)
+        assert (counts < pitman_yor.FREQUENT_FROM).all() and not frequent & set(drawn.view(np.int64).tolist())
+        pairs, counts, tables = pitman_yor._answer(own, pitman_yor.FREQUENT, pitman_yor.CHAINS)
+        assert set(pairs.view(np.int64).tolist()) == frequent
+        for pair, n, seats in zip(pairs.view(np.int64).tolist(), counts, tables.tolist(), strict=True):
+            assert (n, seats) == (seated[pair].c, [seated[pair].t0, seated[pair].t1])
+        told += 1
+    assert told == docs.select("grp").distinct().count()
+
+
+def test_numbers_of_a_row_keep_their_values_as_bytes():
+    counts = [np.array(x) for x in ([0, 1, 255], [256, 0], [1 << 40], [70_000, 3])]
+    made = [pitman_yor._array_rows(0, np.zeros(len(x), np.int64), np.arange(len(x), dtype=np.uint64), x, 1) for x in counts]
+    rows = pa.Table.from_batches(pitman_yor._as_bytes(made)).combine_chunks().to_batches()[0]
+    flat = next(pitman_yor._one_by_one(iter([rows.select(["grp", "keys", "counts"])])))
+    assert flat.column("n").to_pylist() == [n for x in counts for n in x.tolist()]
+    assert flat.column("key").to_pylist() == [i for x in counts for i in range(len(x))]
+    part = rows.slice(1, 2)
+    assert pitman_yor._wide(part.column("keys"), part.column("counts")).tolist() == [256, 0, 1 << 40]
+
+
+def test_seats_do_not_depend_on_who_is_seated_beside():
+    rng = np.random.default_rng(2)
+    rows = 3 * pitman_yor.FEW_ROWS
+    keys = rng.integers(0, 1 << 62, rows).astype(np.uint64)
+    counts, chance, tables = rng.integers(1, 400, rows), rng.random(rows) / 50, rng.integers(1, 900, rows)
+    together = pitman_yor.seat(keys, counts, chance, tables, 0.7, 3)
+    apart = [pitman_yor.seat(*(x[i : i + 50] for x in (keys, counts, chance, tables)), 0.7, 3) for i in range(0, rows, 50)]
+    assert (together == np.concatenate(apart)).all()
+
+
 def test_seats_stay_within_their_customers():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 1 << 62, 500).astype(np.uint64)
